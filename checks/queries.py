@@ -1,0 +1,377 @@
+"""The queries checked against SQL: every operator on whole tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.sample_events import RAW_COLUMNS, order_events, raw_clicks, shop_events
+from tidemark.functions import event_key, parse_event_time, price_band
+from tidemark.operators import changes, dedupe, inspect, models, quality, sessions, standardize
+from tidemark.operators.ingest import stamp_ingestion
+from tidemark.plans import run_bronze, run_gold, run_incremental, run_silver, silver_events
+from tidemark.plans.quality import quality_results
+from tidemark.plans.silver import keyed_events
+from tidemark.sources.export import export_csv
+from tidemark.sources.layout import Lake
+from tidemark.sources.raw import read_raw_events
+from tidemark.sources.scratch import new_folder
+from tidemark.sources.tables import read_table
+
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+HOUR = 3600
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone, as the test tables have them."""
+    return df.select(
+        *(
+            F.col(f.name).cast("timestamp_ntz").alias(f.name)
+            if isinstance(f.dataType, T.TimestampType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        )
+    )
+
+
+def keyed_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize.with_event_id(shop_events(spark, sf_dir))
+
+
+def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw clicks as bronze would hold them after two ingests an hour apart."""
+    clicks = raw_clicks(spark, sf_dir)
+    parsed = clicks.withColumns(
+        {
+            "ingest_ts": F.timestamp_seconds(F.lit(1706745600) + F.col("drop_no") * HOUR),
+            "source_file": F.concat(F.lit("drop-"), F.col("drop_no").cast("string")),
+            "event_ts": parse_event_time(F.col("event_time")),
+        }
+    )
+    return parsed.withColumn("event_date", F.to_date("event_ts")).drop("drop_no")
+
+
+def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_events(bronze_rows(spark, sf_dir))
+
+
+def write_drops(spark: SparkSession, sf_dir: str, raw_dir: str, drops: tuple[int, ...]) -> None:
+    """The raw clicks of some drops as CSV files, a folder per drop."""
+    for drop in drops:
+        rows = raw_clicks(spark, sf_dir).filter(F.col("drop_no") == drop).select(*RAW_COLUMNS)
+        (
+            rows.write.option("header", "true")
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .csv(f"{raw_dir}/drop={drop}")
+        )
+
+
+def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_dir = new_folder(spark, "raw")
+    write_drops(spark, sf_dir, raw_dir, (1, 2))
+    stamped = stamp_ingestion(read_raw_events(spark, raw_dir))
+    return stamped.drop("ingest_ts", "source_file")
+
+
+def event_ts_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    event_ts = parse_event_time(F.col("event_time"))
+    return raw_clicks(spark, sf_dir).select(
+        "user_session", "event_time", event_ts.alias("event_ts"), F.to_date(event_ts).alias("event_date")
+    )
+
+
+def clean_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize.clean_strings(raw_clicks(spark, sf_dir))
+
+
+def standardize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = standardize.standardize_types(standardize.clean_strings(bronze_rows(spark, sf_dir)))
+    return typed.select("user_session", "event_ts", "event_date", "price", "user_id", "product_id")
+
+
+def event_id_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = shop_events(spark, sf_dir)
+    return events.select("user_id", "event_ts", event_key(events.columns).alias("event_id"))
+
+
+def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = dedupe.latest_per_event(keyed_events(bronze_rows(spark, sf_dir)))
+    return latest.select("event_id", "ingest_ts", "source_file", "user_session", "price")
+
+
+def dedupe_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.any_per_event(keyed_shop(spark, sf_dir)).select("event_id")
+
+
+def purchase_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.purchase_events(dirty_silver(spark, sf_dir)).select(
+        "event_id", "event_type", "user_id", "product_id", "price"
+    )
+
+
+def event_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.with_revenue(dirty_silver(spark, sf_dir)).select("event_id", "event_type", "revenue")
+
+
+def order_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sold = models.with_revenue(order_events(spark, sf_dir))
+    return sold.groupBy("user_id").agg(F.round(F.sum("revenue"), 2).alias("revenue"))
+
+
+def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_shop(spark, sf_dir).select(
+        "event_id", "price", price_band(F.col("price")).alias("price_band")
+    )
+
+
+def _rounded_price(products: DataFrame) -> DataFrame:
+    return products.withColumn("price", F.round("price", 6))
+
+
+def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.dim_customer(dirty_silver(spark, sf_dir))
+
+
+def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_price(models.dim_product(dirty_silver(spark, sf_dir)))
+
+
+def order_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.dim_customer(order_events(spark, sf_dir))
+
+
+def order_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_price(models.dim_product(order_events(spark, sf_dir)))
+
+
+def _sessions(spark: SparkSession, sf_dir: str, minutes: int) -> DataFrame:
+    gap = sessions.gap_from_minutes(minutes)
+    found = sessions.with_session_id(keyed_shop(spark, sf_dir), gap)
+    return found.select("event_id", "user_id", "event_ts", "session_id")
+
+
+def sessionize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sessions(spark, sf_dir, 30)
+
+
+def sessionize_gap60(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sessions(spark, sf_dir, 60)
+
+
+def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sold = models.with_revenue(keyed_shop(spark, sf_dir))
+    return models.fact_events(sessions.with_session_id(sold))
+
+
+def fact_events_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sold = models.with_revenue(dirty_silver(spark, sf_dir))
+    return models.fact_events(sessions.with_session_id(sold))
+
+
+def session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = keyed_shop(spark, sf_dir)
+    gap = sessions.DEFAULT_GAP_SECONDS
+    return sessions.summarize_sessions(events, sessions.session_index(events, gap), gap)
+
+
+def session_summary_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.session_summary(sessions.with_session_id(keyed_shop(spark, sf_dir)))
+
+
+def session_summary_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = dirty_silver(spark, sf_dir)
+    gap = sessions.DEFAULT_GAP_SECONDS
+    return sessions.summarize_sessions(events, sessions.session_index(events, gap), gap)
+
+
+def events_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspect.rows_per_date(bronze_rows(spark, sf_dir))
+
+
+def first_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspect.first_dates(bronze_rows(spark, sf_dir))
+
+
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = dirty_silver(spark, sf_dir)
+    layers = {
+        "bronze": bronze_rows(spark, sf_dir),
+        "silver": silver,
+        "dim_customer": models.dim_customer(silver),
+        "dim_product": models.dim_product(silver),
+    }
+    return inspect.layer_counts(layers)
+
+
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw_dir = new_folder(spark, "raw")
+    write_drops(spark, sf_dir, raw_dir, (1, 2))
+    return inspect.column_profile(read_raw_events(spark, raw_dir))
+
+
+def events_after_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = datetime(2024, 1, 20, 12, 0, 0, tzinfo=timezone.utc)
+    return changes.events_after(keyed_shop(spark, sf_dir), mark).select("event_id", "event_ts")
+
+
+def dq_event_id_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_not_null(dirty_silver(spark, sf_dir), "silver", ["event_id"])
+
+
+def dq_event_ts_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_not_null(dirty_silver(spark, sf_dir), "silver", ["event_ts"])
+
+
+def dq_event_id_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_unique(keyed_events(bronze_rows(spark, sf_dir)), "bronze")
+
+
+def dq_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.check_event_type(dirty_silver(spark, sf_dir), "silver", EVENT_TYPES)
+
+
+def _gold(silver: DataFrame) -> dict[str, DataFrame]:
+    gap = sessions.DEFAULT_GAP_SECONDS
+    index = sessions.session_index(silver, gap)
+    sold = models.with_revenue(silver)
+    return {
+        "dim_customer": models.dim_customer(silver),
+        "dim_product": models.dim_product(silver),
+        "fact_events": models.fact_events(sessions.attach_sessions(sold, index, gap)),
+        "session_summary": sessions.summarize_sessions(silver, index, gap),
+    }
+
+
+def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = dirty_silver(spark, sf_dir)
+    gold = _gold(silver)
+    return quality.check_row_counts(
+        bronze_rows(spark, sf_dir),
+        silver,
+        gold["fact_events"],
+        gold["dim_customer"],
+        gold["session_summary"],
+    )
+
+
+def dq_fk_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines against the products seen in the click stream: most are unknown there."""
+    lines = order_events(spark, sf_dir).select("product_id")
+    return quality.check_reference(lines, models.dim_product(shop_events(spark, sf_dir)))
+
+
+def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = dirty_silver(spark, sf_dir)
+    return quality_results(bronze_rows(spark, sf_dir), silver, _gold(silver), EVENT_TYPES)
+
+
+def _built_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Raw files of both drops through the three batch jobs."""
+    lake = Lake(new_folder(spark, "lake"))
+    write_drops(spark, sf_dir, f"{lake.root}/raw", (1, 2))
+    for hour, drop in enumerate((1, 2)):
+        instant = datetime(2024, 2, 1, hour, tzinfo=timezone.utc)
+        run_bronze(spark, f"{lake.root}/raw/drop={drop}", lake.bronze, ingested_at=instant)
+    run_silver(spark, lake.bronze, lake.silver)
+    run_gold(spark, lake.silver, lake.gold)
+    return lake
+
+
+def _grown_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """The same raw files arriving one drop at a time, each followed by an incremental run."""
+    lake = Lake(new_folder(spark, "lake"))
+    for drop in (1, 2):
+        write_drops(spark, sf_dir, f"{lake.root}/raw", (drop,))
+        run_incremental(spark, f"{lake.root}/raw", lake)
+    return lake
+
+
+def built_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _built_lake(spark, sf_dir).gold_table("fact_events"))
+
+
+def grown_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _grown_lake(spark, sf_dir).gold_table("fact_events"))
+
+
+def grown_session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _grown_lake(spark, sf_dir).gold_table("session_summary"))
+
+
+def grown_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _grown_lake(spark, sf_dir).gold_table("dim_customer"))
+
+
+def grown_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_price(read_table(spark, _grown_lake(spark, sf_dir).gold_table("dim_product")))
+
+
+def exported_dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "export")
+    export_csv(models.dim_customer(dirty_silver(spark, sf_dir)), folder)
+    declared = (
+        "customer_id bigint, first_seen_ts timestamp, last_seen_ts timestamp, total_events bigint"
+    )
+    return spark.read.schema(declared).option("header", "true").csv(folder)
+
+
+_QUERIES = (
+    bronze_events,
+    event_ts_parse,
+    clean_strings,
+    standardize_types,
+    event_id_hash,
+    dedupe_latest,
+    dedupe_any,
+    purchase_events,
+    event_revenue,
+    order_revenue,
+    price_bands,
+    dim_customer,
+    dim_product,
+    order_dim_customer,
+    order_dim_product,
+    sessionize,
+    sessionize_gap60,
+    fact_events,
+    fact_events_dirty,
+    session_summary,
+    session_summary_by_id,
+    session_summary_dirty,
+    events_per_date,
+    first_dates,
+    layer_counts,
+    column_profile,
+    events_after_watermark,
+    dq_event_id_null,
+    dq_event_ts_null,
+    dq_event_id_dup,
+    dq_event_type,
+    dq_row_counts,
+    dq_fk_product,
+    dq_results,
+    built_fact_events,
+    grown_fact_events,
+    grown_session_summary,
+    grown_dim_customer,
+    grown_dim_product,
+    exported_dim_customer,
+)
+
+
+def _query(build: Callable[[SparkSession, str], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plain(build(spark, sf_dir))
+
+    return run
+
+
+def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = {build.__name__: _query(build) for build in _QUERIES}
+    named["silver_events"] = _query(dirty_silver)
+    return named
