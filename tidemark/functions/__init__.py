@@ -1,6 +1,11 @@
 """Column expressions: parsing, keys and measures."""
 
-from tidemark.functions.keys import event_key, session_id, session_key
+from tidemark.functions.keys import (
+    event_key,
+    session_id,
+    session_key_columns,
+    user_key_columns,
+)
 from tidemark.functions.measures import is_purchase, price_band, revenue
 from tidemark.functions.parsing import (
     blank_to_null,
@@ -18,6 +23,7 @@ __all__ = [
     "price_band",
     "revenue",
     "session_id",
-    "session_key",
+    "session_key_columns",
+    "user_key_columns",
     "whole_number",
 ]

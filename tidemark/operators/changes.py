@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sessions import UNTIMED_BASE, UNTIMED_HEX_DIGITS, with_session_cell
+from tidemark.operators.sessions import KEY, UNTIMED_BASE, UNTIMED_HEX_DIGITS, with_session_cell
 
 
 def events_after(events: DataFrame, watermark: datetime | None) -> DataFrame:
@@ -43,7 +43,7 @@ def changed_sessions(fresh: DataFrame, gap_seconds: int) -> DataFrame:
     """
     return (
         with_session_cell(fresh, gap_seconds)
-        .groupBy("session_key")
+        .groupBy(*KEY)
         .agg(F.min("session_cell").alias("from_cell"))
     )
 
@@ -55,5 +55,5 @@ def dates_from(cells: DataFrame, changed: DataFrame) -> DataFrame:
     reach = F.when(changed["from_cell"] < first_timed, F.lit(UNTIMED_BASE)).otherwise(
         changed["from_cell"]
     )
-    same_key = cells["session_key"].eqNullSafe(changed["session_key"])
-    return cells.join(changed, same_key & (cells["session_cell"] >= reach), "left_semi")
+    same_key = [cells[c] == changed[c] for c in KEY]
+    return cells.join(changed, [*same_key, cells["session_cell"] >= reach], "left_semi")

@@ -15,7 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import is_purchase, session_id, session_key
+from tidemark.functions import (
+    is_purchase,
+    session_id,
+    session_key_columns,
+    user_key_columns,
+)
 
 # Fixed value: idle seconds that still belong to a session.
 DEFAULT_GAP_SECONDS = 1800
@@ -24,6 +29,9 @@ DEFAULT_GAP_SECONDS = 1800
 UNTIMED_BASE = -(1 << 62)
 UNTIMED_HEX_DIGITS = 3
 
+KEY = ["key_number", "key_text"]
+CELL = [*KEY, "has_user", "session_cell"]
+
 
 def gap_from_minutes(minutes: int) -> int:
     """Gap in seconds; zero or negative minutes give the smallest gap, one second."""
@@ -34,40 +42,59 @@ def _id_hash() -> Column:
     return F.md5(F.coalesce(F.col("event_id").cast("string"), F.lit("")))
 
 
-def session_cell(gap_seconds: int) -> Column:
-    """Cell number of an event, increasing with its time; untimed cells sort first."""
-    timed = F.floor(F.unix_timestamp("event_ts") / F.lit(gap_seconds))
+def _timed_cell(gap_seconds: int) -> Column:
+    return F.floor(F.unix_timestamp("event_ts") / F.lit(gap_seconds))
+
+
+def _untimed_cell() -> Column:
     spread = F.conv(F.substring(_id_hash(), 1, UNTIMED_HEX_DIGITS), 16, 10).cast("bigint")
-    return F.when(F.col("event_ts").isNotNull(), timed).otherwise(F.lit(UNTIMED_BASE) + spread)
+    return F.lit(UNTIMED_BASE) + spread
 
 
 def with_session_cell(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """Add the key columns and the cell number, which grows with time; untimed cells sort first."""
+    cell = F.when(F.col("event_ts").isNotNull(), _timed_cell(gap_seconds)).otherwise(_untimed_cell())
     return events.withColumns(
         {
             "event_ts": F.col("event_ts").cast("timestamp"),
-            "session_key": session_key(),
-            "session_cell": session_cell(gap_seconds),
+            **session_key_columns(),
+            "session_cell": cell,
         }
     )
 
 
+def _cell_inputs(events: DataFrame, gap_seconds: int, by: tuple[str, ...]) -> DataFrame:
+    """What cells are made of, in two scans: most rows need no event id, the widest column.
+
+    Event ids are read only where the user or the time is missing, and parquet statistics let
+    that scan skip row groups without such a row.
+    """
+    needed = [*by, *CELL, F.col("event_ts").cast("timestamp"), is_purchase().alias("_purchase")]
+    whole = F.col("user_id").isNotNull() & F.col("event_ts").isNotNull()
+    lacking = F.col("user_id").isNull() | F.col("event_ts").isNull()
+    plain = events.filter(whole).withColumns(
+        {**user_key_columns(), "session_cell": _timed_cell(gap_seconds)}
+    )
+    odd = with_session_cell(events.filter(lacking), gap_seconds)
+    return plain.select(*needed).unionByName(odd.select(*needed))
+
+
 def session_cells(events: DataFrame, gap_seconds: int, by: tuple[str, ...] = ()) -> DataFrame:
-    """Times and counts per (session_key, session_cell, user_id), and per ``by`` column if given."""
+    """Times and counts per cell of a session key, and per ``by`` column if given."""
     return (
-        with_session_cell(events, gap_seconds)
-        .groupBy(*by, "session_key", "session_cell", "user_id")
+        _cell_inputs(events, gap_seconds, by)
+        .groupBy(*by, *CELL)
         .agg(
             F.min("event_ts").alias("start_ts"),
             F.max("event_ts").alias("end_ts"),
             F.count(F.lit(1)).alias("event_count"),
-            F.bool_or(is_purchase()).alias("purchased_flag"),
+            F.bool_or("_purchase").alias("purchased_flag"),
         )
     )
 
 
-def merge_cells(cells: DataFrame) -> DataFrame:
-    """Combine cells that were made per date into cells over all dates."""
-    return cells.groupBy("session_key", "session_cell", "user_id").agg(
+def _merged(cells: DataFrame, *keys: str) -> DataFrame:
+    return cells.groupBy(*keys).agg(
         F.min("start_ts").alias("start_ts"),
         F.max("end_ts").alias("end_ts"),
         F.sum("event_count").alias("event_count"),
@@ -75,10 +102,15 @@ def merge_cells(cells: DataFrame) -> DataFrame:
     )
 
 
+def merge_cells(cells: DataFrame) -> DataFrame:
+    """Combine cells that were made per date into cells over all dates."""
+    return _merged(cells, *CELL)
+
+
 def number_sessions(cells: DataFrame, gap_seconds: int) -> DataFrame:
     """Add ``session_no``: the session of a timed cell, or the sessions before an untimed one."""
-    in_order = Window.partitionBy("session_key").orderBy("session_cell", "user_id")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    # A cell has a row per ``has_user`` at most; its later end comes last, where lag picks it up.
+    in_order = Window.partitionBy(*KEY).orderBy("session_cell", "end_ts", "has_user")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     untimed = F.col("start_ts").isNull()
@@ -88,14 +120,12 @@ def number_sessions(cells: DataFrame, gap_seconds: int) -> DataFrame:
         .when(idle <= F.lit(gap_seconds), F.lit(0))
         .otherwise(F.lit(1))
     )
+    before = F.when(untimed, F.col("event_count")).otherwise(F.lit(0))
     return (
-        cells.withColumn("_seen_ts", F.max("end_ts").over(earlier))
+        cells.withColumn("_seen_ts", F.lag("end_ts").over(in_order))
         .withColumn("_opened", opened)
-        .withColumn("_total", F.sum("_opened").over(so_far))
-        .withColumn(
-            "session_no", F.when(untimed, F.col("_total") - F.col("event_count")).otherwise(F.col("_total"))
-        )
-        .drop("_seen_ts", "_opened", "_total")
+        .withColumn("session_no", F.sum("_opened").over(so_far) - before)
+        .drop("_seen_ts", "_opened")
     )
 
 
@@ -103,24 +133,12 @@ def session_index(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) ->
     return number_sessions(session_cells(events, gap_seconds), gap_seconds)
 
 
-def _key_kind() -> Column:
-    """Which field the session key comes from, so that keys can be joined without nulls."""
-    return F.when(F.col("user_id").isNotNull(), 0).when(F.col("session_key").isNotNull(), 1).otherwise(2)
-
-
 def _look_up(keyed: DataFrame, index: DataFrame) -> DataFrame:
-    key_text = F.coalesce("session_key", F.lit(""))
-    numbers = index.select(
-        "session_cell", key_text.alias("_key"), _key_kind().alias("_kind"), "session_no"
-    )
-    probe = keyed.withColumns({"_key": key_text, "_kind": _key_kind()})
-    return probe.join(numbers, ["session_cell", "_key", "_kind"], "left").drop("_key", "_kind")
+    return keyed.join(index.select(*CELL, "session_no"), CELL, "left")
 
 
 def _rank_untimed(found: DataFrame) -> DataFrame:
-    within_cell = Window.partitionBy("session_key", "session_cell", "user_id").orderBy(
-        _id_hash(), "event_id"
-    )
+    within_cell = Window.partitionBy(*CELL).orderBy(_id_hash(), "event_id")
     return found.withColumn("session_no", F.col("session_no") + F.row_number().over(within_cell))
 
 
@@ -134,9 +152,7 @@ def attach_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) -> Da
     timed = _look_up(keyed.filter(F.col("event_ts").isNotNull()), index)
     untimed = _rank_untimed(_look_up(keyed.filter(F.col("event_ts").isNull()), index))
     numbered = timed.unionByName(untimed)
-    return numbered.withColumn(
-        "session_id", session_id(F.col("session_key"), F.col("session_no"))
-    ).drop("session_key", "session_cell", "session_no")
+    return numbered.select(*events.columns, session_id(F.col("session_no")).alias("session_id"))
 
 
 def with_session_id(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
@@ -145,29 +161,20 @@ def with_session_id(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -
 
 def summarize_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) -> DataFrame:
     """One row per session straight from the numbered cells; events are read for untimed rows only."""
-    timed = (
-        index.filter(F.col("start_ts").isNotNull())
-        .groupBy("session_key", "session_no", "user_id")
-        .agg(
-            F.min("start_ts").alias("start_ts"),
-            F.max("end_ts").alias("end_ts"),
-            F.sum("event_count").alias("event_count"),
-            F.bool_or("purchased_flag").alias("purchased_flag"),
-        )
-    )
+    timed = _merged(index.filter(F.col("start_ts").isNotNull()), *KEY, "has_user", "session_no")
     keyed = with_session_cell(events, gap_seconds).filter(F.col("event_ts").isNull())
     untimed = _rank_untimed(_look_up(keyed, index)).select(
-        "session_key",
+        *KEY,
+        "has_user",
         "session_no",
-        "user_id",
         F.col("event_ts").alias("start_ts"),
         F.col("event_ts").alias("end_ts"),
         F.lit(1).cast("bigint").alias("event_count"),
         is_purchase().alias("purchased_flag"),
     )
     return timed.unionByName(untimed).select(
-        session_id(F.col("session_key"), F.col("session_no")).alias("session_id"),
-        F.col("user_id").alias("customer_id"),
+        session_id(F.col("session_no")).alias("session_id"),
+        F.when(F.col("has_user"), F.col("key_number")).alias("customer_id"),
         "start_ts",
         "end_ts",
         "event_count",
