@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+from tidemark.operators import models, sessions
+
+T1, T2 = datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 11)
+
+
+def test_revenue_of_purchases_only(spark):
+    rows = [("purchase", None, 2), ("purchase", 4.0, None), ("order", 4.0, 3), ("view", 4.0, 3)]
+    df = spark.createDataFrame(rows, "event_type string, price double, quantity int")
+    assert [r.revenue for r in models.with_revenue(df).collect()] == [0.0, 4.0, 12.0, None]
+
+
+def test_revenue_without_price_or_quantity_columns(spark):
+    df = spark.createDataFrame([("buy", 4.0), ("view", 4.0)], "event_type string, price double")
+    assert [r.revenue for r in models.with_revenue(df).collect()] == [4.0, None]
+    bare = df.select("event_type")
+    assert [r.revenue for r in models.with_revenue(bare).collect()] == [0.0, None]
+
+
+def test_text_category_beats_number(spark):
+    rows = [(1, "a.b", None), (1, None, 99), (2, None, 98), (None, "zzz", 1)]
+    df = spark.createDataFrame(rows, "product_id bigint, category_code string, category_id bigint")
+    got = {r.product_id: (r.category, r.brand, r.price, r.price_band) for r in models.dim_product(df).collect()}
+    assert got == {1: ("a.b", None, None, "unknown"), 2: ("98", None, None, "unknown")}
+
+
+def test_product_price_is_the_mean_over_all_events(spark):
+    rows = [(1, "x", 5.0), (1, "y", 25.0), (1, None, None), (2, None, float("nan"))]
+    df = spark.createDataFrame(rows, "product_id bigint, brand string, price double")
+    got = {r.product_id: (r.brand, r.price, r.price_band) for r in models.dim_product(df).collect()}
+    assert got[1] == ("y", 15.0, "10_to_50")
+    assert got[2][2] == "100_plus"
+
+
+def test_customers_leave_out_events_without_user(spark):
+    df = spark.createDataFrame([(1, T2), (1, T1), (1, None), (None, T1)], "user_id bigint, event_ts timestamp")
+    assert [tuple(r) for r in models.dim_customer(df).collect()] == [(1, T1, T2, 3)]
+
+
+def test_facts_keep_every_row_and_the_date_only_if_present(spark):
+    rows = [("a", T1, "buy", 1, None), ("b", None, None, None, 3)]
+    df = spark.createDataFrame(
+        rows, "event_id string, event_ts timestamp, event_type string, user_id bigint, product_id bigint"
+    )
+    facts = models.fact_events(sessions.with_session_id(models.with_revenue(df)))
+    assert facts.columns == [
+        "event_id",
+        "event_ts",
+        "event_type",
+        "customer_id",
+        "product_id",
+        "session_id",
+        "revenue",
+    ]
+    assert facts.count() == 2
+
+
+def test_summary_flags_sessions_with_a_purchase(spark):
+    rows = [("a", T1, "view", 1), ("b", T1, "Order", 1), ("c", T2, "view", 2)]
+    df = spark.createDataFrame(rows, "event_id string, event_ts timestamp, event_type string, user_id bigint")
+    got = {r.customer_id: (r.event_count, r.purchased_flag) for r in models.session_summary(sessions.with_session_id(df)).collect()}
+    assert got == {1: (2, True), 2: (1, False)}
