@@ -19,7 +19,7 @@ from tidemark.plans.silver import keyed_events
 from tidemark.sources.export import export_csv
 from tidemark.sources.layout import Lake
 from tidemark.sources.raw import read_raw_events
-from tidemark.sources.scratch import new_folder
+from tidemark.sources.scratch import new_folder, stage
 from tidemark.sources.tables import read_table
 
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
@@ -198,7 +198,7 @@ def first_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = dirty_silver(spark, sf_dir)
+    silver = stage(dirty_silver(spark, sf_dir), "silver")
     layers = {
         "bronze": bronze_rows(spark, sf_dir),
         "silver": silver,
@@ -237,7 +237,7 @@ def dq_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold(silver: DataFrame) -> dict[str, DataFrame]:
     gap = sessions.DEFAULT_GAP_SECONDS
-    index = sessions.session_index(silver, gap)
+    index = stage(sessions.session_index(silver, gap), "session_index")
     sold = models.with_revenue(silver)
     return {
         "dim_customer": models.dim_customer(silver),
@@ -248,7 +248,7 @@ def _gold(silver: DataFrame) -> dict[str, DataFrame]:
 
 
 def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = dirty_silver(spark, sf_dir)
+    silver = stage(dirty_silver(spark, sf_dir), "silver")
     gold = _gold(silver)
     return quality.check_row_counts(
         bronze_rows(spark, sf_dir),
@@ -266,7 +266,7 @@ def dq_fk_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = dirty_silver(spark, sf_dir)
+    silver = stage(dirty_silver(spark, sf_dir), "silver")
     return quality_results(bronze_rows(spark, sf_dir), silver, _gold(silver), EVENT_TYPES)
 
 

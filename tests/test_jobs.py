@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime, timezone
 
 import pytest
@@ -13,6 +14,7 @@ from tidemark.plans import run_bronze, run_gold, run_incremental, run_quality, r
 from tidemark.plans.incremental import done_through
 from tidemark.sources.export import export_csv
 from tidemark.sources.layout import GOLD_TABLES, Lake
+from tidemark.sources.scratch import shared_dir
 from tidemark.sources.tables import read_table, replace_dates
 
 HEADER = "event_time,event_type,product_id,category_code,brand,price,user_id"
@@ -193,7 +195,32 @@ def test_progress_is_kept_per_layer(spark, tmp_path, lake):
     run_incremental(spark, str(tmp_path / "raw"), lake)
     silver = done_through(spark, lake, "silver")
     assert started <= silver <= datetime.now(timezone.utc)
-    assert silver == done_through(spark, lake, "bronze") == done_through(spark, lake, "gold_1800")
+    assert done_through(spark, lake, "gold", 60) is None
+    assert silver == done_through(spark, lake, "bronze") == done_through(spark, lake, "gold", 1800)
+
+
+def test_another_gap_remakes_gold(spark, tmp_path, lake):
+    raw = tmp_path / "raw"
+    put(raw, "1.csv", HEADER, *DAY_ONE)
+    run_incremental(spark, str(raw), lake)
+    put(raw, "2.csv", HEADER, *DAY_TWO)
+    run_incremental(spark, str(raw), lake, session_gap_minutes=5)
+    run_gold(spark, lake.silver, f"{lake.root}/gap5", session_gap_minutes=5)
+    for name in GOLD_TABLES:
+        other = read_table(spark, f"{lake.root}/gap5/{name}")
+        assert rows_of(read_table(spark, lake.gold_table(name))) == rows_of(other)
+    put(raw, "3.csv", HEADER, *LATE)
+    run_incremental(spark, str(raw), lake)
+    assert_like_rebuilt(spark, lake, str(tmp_path / "full"))
+
+
+def test_staged_tables_are_removed(spark, tmp_path, lake):
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared))
+    put(tmp_path / "raw", "1.csv", HEADER, *DAY_ONE)
+    run_incremental(spark, str(tmp_path / "raw"), lake)
+    run_gold(spark, lake.silver, f"{lake.root}/again")
+    assert set(os.listdir(shared)) == before
 
 
 def test_replacing_dates_touches_no_others(spark, tmp_path):

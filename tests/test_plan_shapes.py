@@ -87,3 +87,34 @@ def test_no_python_and_no_cross_join(spark, silver):
     ):
         text = plan(df)
         assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_a_hot_cell_is_split_at_run_time(spark, tmp_path):
+    """A third of all rows fall into one user's one cell: adaptive execution splits that join."""
+    path = str(tmp_path / "events")
+    df = spark.range(300_000, numPartitions=6).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("event_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("bigint").alias("user_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 1000).alias("event_ts"),
+        F.lit("view").alias("event_type"),
+    )
+    df.write.parquet(path)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500KB",
+    }
+    kept = {k: spark.conf.get(k) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        out = sessions.with_session_id(read_table(spark, path))
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert len(rows) == 300_000
+    assert len({r.session_id for r in rows if r.user_id == 7}) == 1

@@ -26,7 +26,7 @@ def distinct_dates(rows: DataFrame) -> list[date | None]:
 
     They are the names of a table's partitions, which the driver lists anyway to read the table.
     """
-    return [r["event_date"] for r in rows.select("event_date").distinct().toLocalIterator()]
+    return [r["event_date"] for r in rows.select("event_date").distinct().collect()]
 
 
 def in_dates(dates: list[date | None]) -> Column:

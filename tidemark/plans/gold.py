@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import models, sessions
 from tidemark.plans.session import require_utc
-from tidemark.sources.scratch import stage
+from tidemark.plans.together import together
+from tidemark.sources.scratch import staging_folder, stored
 from tidemark.sources.tables import read_table, write_table
 
 
@@ -27,12 +30,20 @@ def run_gold(
     require_utc(spark)
     gap_seconds = sessions.gap_from_minutes(session_gap_minutes)
     silver = read_table(spark, silver_dir)
-    index = stage(sessions.session_index(silver, gap_seconds), "session_index")
-    tables = {
-        "dim_customer": models.dim_customer(silver),
-        "dim_product": models.dim_product(silver),
-        "fact_events": fact_rows(silver, index, gap_seconds),
-        "session_summary": sessions.summarize_sessions(silver, index, gap_seconds),
-    }
-    for name, rows in tables.items():
-        write_table(rows, f"{gold_dir}/{name}")
+    cells = sessions.session_index(silver, gap_seconds)
+
+    def write(name: str, rows: DataFrame) -> Callable[[], None]:
+        return lambda: write_table(rows, f"{gold_dir}/{name}")
+
+    with staging_folder(spark, "session_index") as folder:
+        index, *_ = together(
+            spark,
+            lambda: stored(cells, folder),
+            write("dim_customer", models.dim_customer(silver)),
+            write("dim_product", models.dim_product(silver)),
+        )
+        together(
+            spark,
+            write("fact_events", fact_rows(silver, index, gap_seconds)),
+            write("session_summary", sessions.summarize_sessions(silver, index, gap_seconds)),
+        )

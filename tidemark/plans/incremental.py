@@ -7,6 +7,7 @@ is done is noted per layer only after its tables are written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,33 +28,48 @@ from tidemark.operators.standardize import stable_order
 from tidemark.plans.gold import fact_rows
 from tidemark.plans.session import require_utc
 from tidemark.plans.silver import keyed_events, silver_events
+from tidemark.plans.together import together
 from tidemark.sources.files import path_exists
 from tidemark.sources.layout import Lake
-from tidemark.sources.scratch import stage
+from tidemark.sources.scratch import staging_folder, stored
 from tidemark.sources.tables import read_table, replace_dates, write_table
 from tidemark.streaming.ingest import ingest_new_files
 
+PROGRESS = "layer string, gap_seconds int, through_ts timestamp, noted_at timestamp"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-def done_through(spark: SparkSession, lake: Lake, layer: str) -> datetime | None:
-    """The latest ``ingest_ts`` a layer has taken in, null before its first run."""
+def done_through(
+    spark: SparkSession, lake: Lake, layer: str, gap_seconds: int | None = None
+) -> datetime | None:
+    """The latest ``ingest_ts`` a layer has taken in; null if it has to be made from the start."""
     if not path_exists(spark, lake.progress):
         return None
-    notes = spark.read.schema("layer string, through_ts timestamp").parquet(lake.progress)
-    return _latest(notes.filter(F.col("layer") == layer), "through_ts")
+    # As microseconds, so that the driver's own time zone plays no part.
+    last = F.max_by(F.struct("gap_seconds", F.unix_micros("through_ts").alias("micros")), "noted_at")
+    notes = spark.read.schema(PROGRESS).parquet(lake.progress).filter(F.col("layer") == layer)
+    note = notes.agg(last.alias("note")).first()["note"]
+    if note is None or note["micros"] is None or note["gap_seconds"] != gap_seconds:
+        return None
+    return EPOCH + timedelta(microseconds=note["micros"])
 
 
-def note_done(spark: SparkSession, lake: Lake, layer: str, through: datetime) -> None:
-    note = spark.range(1).select(F.lit(layer).alias("layer"), F.lit(through).alias("through_ts"))
+def note_done(
+    spark: SparkSession,
+    lake: Lake,
+    layer: str,
+    through: datetime | None,
+    gap_seconds: int | None = None,
+) -> None:
+    """Note that a layer is complete through an instant, or, with none, that it is being remade."""
+    note = spark.range(1).select(
+        F.lit(layer).alias("layer"),
+        F.lit(gap_seconds).cast("int").alias("gap_seconds"),
+        F.lit(through).cast("timestamp").alias("through_ts"),
+        F.lit(now_utc()).alias("noted_at"),
+    )
     note.coalesce(1).write.mode("append").parquet(lake.progress)
 
 
-def _latest(rows: DataFrame, column: str) -> datetime | None:
-    """Maximum of a timestamp column as an aware instant, whatever the driver's own zone."""
-    micros = rows.agg(F.unix_micros(F.max(column))).first()[0]
-    return None if micros is None else EPOCH + timedelta(microseconds=micros)
-
-
 def _has_native_id(bronze: DataFrame) -> bool:
     return "event_id" in bronze.columns
 
@@ -86,13 +102,13 @@ def silver_of_dates(bronze: DataFrame, dates: list[date | None]) -> DataFrame:
     return stable_order(latest.filter(in_dates(dates)))
 
 
-def refresh_silver(spark: SparkSession, lake: Lake) -> None:
+def refresh_silver(spark: SparkSession, lake: Lake, through: datetime) -> None:
+    """Bring silver up to bronze, whose rows are all ingested at or before ``through``."""
     bronze = read_table(spark, lake.bronze)
     since = done_through(spark, lake, "silver")
     dates = touched_dates(bronze, since)
     if not dates:
         return
-    through = _latest(bronze, "ingest_ts")
     replace_dates(silver_of_dates(bronze, dates), lake.silver, dates)
     note_done(spark, lake, "silver", through)
 
@@ -119,15 +135,19 @@ def _fact_dates(
     return list({*dates, *distinct_dates(moved)})
 
 
-def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int) -> None:
+def _replacing(rows: DataFrame, path: str, dates: list[date | None]) -> Callable[[], None]:
+    return lambda: replace_dates(rows, path, dates)
+
+
+def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int, through: datetime) -> None:
     """Bring the gold tables up to silver by way of mergeable parts kept per date."""
-    layer = f"gold_{gap_seconds}"
     bronze, silver = read_table(spark, lake.bronze), read_table(spark, lake.silver)
-    since = done_through(spark, lake, layer)
+    since = done_through(spark, lake, "gold", gap_seconds)
     dates = touched_dates(bronze, since)
     if not dates:
         return
-    through = _latest(bronze, "ingest_ts")
+    if since is None:
+        note_done(spark, lake, "gold", None, gap_seconds)
 
     touched = silver.filter(in_dates(dates))
     by_day = ("event_date",)
@@ -136,22 +156,26 @@ def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int) -> None:
         "product_days": models.product_parts(touched, by_day),
         f"cell_days_{gap_seconds}": sessions.session_cells(touched, gap_seconds, by_day),
     }
-    for name, rows in parts.items():
-        replace_dates(rows, lake.state(name), dates)
+    together(spark, *(_replacing(rows, lake.state(name), dates) for name, rows in parts.items()))
     customers, products, cells = (read_table(spark, lake.state(name)) for name in parts)
 
-    write_table(models.merge_customers(customers), lake.gold_table("dim_customer"))
-    write_table(models.merge_products(products), lake.gold_table("dim_product"))
-
-    merged = sessions.merge_cells(cells)
-    index = stage(sessions.number_sessions(merged, gap_seconds), "session_index")
-    summary = sessions.summarize_sessions(silver, index, gap_seconds)
-    write_table(summary, lake.gold_table("session_summary"))
-
-    fact_dates = _fact_dates(bronze, silver, cells, dates, since, gap_seconds)
-    facts = fact_rows(silver.filter(in_dates(fact_dates)), index, gap_seconds)
-    replace_dates(facts, lake.gold_table("fact_events"), fact_dates)
-    note_done(spark, lake, layer, through)
+    numbered = sessions.number_sessions(sessions.merge_cells(cells), gap_seconds)
+    with staging_folder(spark, "session_index") as folder:
+        index, *_ = together(
+            spark,
+            lambda: stored(numbered, folder),
+            lambda: write_table(models.merge_customers(customers), lake.gold_table("dim_customer")),
+            lambda: write_table(models.merge_products(products), lake.gold_table("dim_product")),
+        )
+        fact_dates = _fact_dates(bronze, silver, cells, dates, since, gap_seconds)
+        facts = fact_rows(silver.filter(in_dates(fact_dates)), index, gap_seconds)
+        summary = sessions.summarize_sessions(silver, index, gap_seconds)
+        together(
+            spark,
+            _replacing(facts, lake.gold_table("fact_events"), fact_dates),
+            lambda: write_table(summary, lake.gold_table("session_summary")),
+        )
+    note_done(spark, lake, "gold", through, gap_seconds)
 
 
 def run_incremental(
@@ -170,5 +194,5 @@ def run_incremental(
         spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, schema, instant
     )
     note_done(spark, lake, "bronze", instant)
-    refresh_silver(spark, lake)
-    refresh_gold(spark, lake, sessions.gap_from_minutes(session_gap_minutes))
+    refresh_silver(spark, lake, instant)
+    refresh_gold(spark, lake, sessions.gap_from_minutes(session_gap_minutes), instant)

@@ -1,11 +1,23 @@
-"""Questions to the file system behind a path."""
+"""Questions and requests to the file system behind a path."""
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import SparkSession
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str) -> tuple[Any, Any]:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return location.getFileSystem(conf).exists(location)
+    return location.getFileSystem(conf), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _located(spark, path)
+    return files.exists(location)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, location = _located(spark, path)
+    files.delete(location, True)

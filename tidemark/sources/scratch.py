@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.files import delete_folder
+
 SHARED_DIR = "spark.checkpoint.dir"
 
 
@@ -26,8 +30,21 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to shared scratch and read it back, so its lineage ends at stored files."""
-    folder = new_folder(df.sparkSession, label)
+def stored(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to shared scratch and read it back, so its lineage ends at stored files."""
+    return stored(df, new_folder(df.sparkSession, label))
+
+
+@contextmanager
+def staging_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new folder in shared scratch that is removed when the work that uses it has ended."""
+    folder = new_folder(spark, label)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
