@@ -30,7 +30,7 @@ UNTIMED_BASE = -(1 << 62)
 UNTIMED_HEX_DIGITS = 3
 
 KEY = ["key_number", "key_text"]
-CELL = [*KEY, "has_user", "session_cell"]
+CELL = ["key_number", "session_cell", "key_text", "has_user"]
 
 
 def gap_from_minutes(minutes: int) -> int:
