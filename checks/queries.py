@@ -15,6 +15,7 @@ from tidemark.operators import changes, dedupe, inspect, models, quality, sessio
 from tidemark.operators.ingest import stamp_ingestion
 from tidemark.plans import run_bronze, run_gold, run_incremental, run_silver, silver_events
 from tidemark.plans.quality import quality_results
+from tidemark.plans.session import UTC_NAMES
 from tidemark.plans.silver import keyed_events
 from tidemark.sources.export import export_csv
 from tidemark.sources.layout import Lake
@@ -364,9 +365,18 @@ _QUERIES = (
 )
 
 
+def _in_utc(spark: SparkSession) -> SparkSession:
+    """The session itself if its zone is UTC, which the jobs insist on, else one beside it."""
+    if spark.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return spark
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.session.timeZone", "UTC")
+    return beside
+
+
 def _query(build: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(build(spark, sf_dir))
+        return plain(build(_in_utc(spark), sf_dir))
 
     return run
 
