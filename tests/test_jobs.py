@@ -110,6 +110,21 @@ def test_incremental_runs_equal_a_rebuild(spark, tmp_path, lake):
     assert before == {n: rows_of(read_table(spark, lake.gold_table(n))) for n in GOLD_TABLES}
 
 
+def test_cells_across_midnight(spark, tmp_path, lake):
+    """A gap that does not divide the day makes cells that lie in two dates."""
+    raw = tmp_path / "raw"
+    times = ("01 23:40:00", "01 23:59:00", "02 00:01:00", "02 00:20:00", "03 00:05:00")
+    lines = [f"2024-01-{t} UTC,view,1,,,1,{user}" for t in times for user in (1, 2)]
+    put(raw, "1.csv", HEADER, *lines[:4])
+    run_incremental(spark, str(raw), lake, session_gap_minutes=77)
+    put(raw, "2.csv", HEADER, *lines[4:], "2024-01-01 22:00:00 UTC,view,1,,,1,1")
+    run_incremental(spark, str(raw), lake, session_gap_minutes=77)
+    run_gold(spark, lake.silver, f"{lake.root}/full", session_gap_minutes=77)
+    for name in GOLD_TABLES:
+        full = read_table(spark, f"{lake.root}/full/{name}")
+        assert rows_of(read_table(spark, lake.gold_table(name))) == rows_of(full)
+
+
 def test_in_order_files_leave_old_fact_dates_alone(spark, tmp_path, lake):
     raw = tmp_path / "raw"
     put(raw, "1.csv", HEADER, *DAY_ONE[:5])

@@ -102,14 +102,12 @@ def _merged(cells: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def merge_cells(cells: DataFrame) -> DataFrame:
-    """Combine cells that were made per date into cells over all dates."""
-    return _merged(cells, *CELL)
-
-
 def number_sessions(cells: DataFrame, gap_seconds: int) -> DataFrame:
-    """Add ``session_no``: the session of a timed cell, or the sessions before an untimed one."""
-    # A cell has a row per ``has_user`` at most; its later end comes last, where lag picks it up.
+    """Add ``session_no``: the session of a timed cell, or the sessions before an untimed one.
+
+    A timed cell may come in several rows, as when it was made per date and spans midnight.
+    """
+    # Rows of one cell are less than a gap apart, and the latest comes last, where lag picks it up.
     in_order = Window.partitionBy(*KEY).orderBy("session_cell", "end_ts", "has_user")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -133,6 +131,11 @@ def session_index(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) ->
     return number_sessions(session_cells(events, gap_seconds), gap_seconds)
 
 
+def one_number_per_cell(numbered: DataFrame) -> DataFrame:
+    """Numbered cells for looking events up; rows of one cell agree on the number."""
+    return numbered.groupBy(*CELL).agg(F.max("session_no").alias("session_no"))
+
+
 def _look_up(keyed: DataFrame, index: DataFrame) -> DataFrame:
     return keyed.join(index.select(*CELL, "session_no"), CELL, "left")
 

@@ -31,7 +31,6 @@ from tidemark.plans.silver import keyed_events, silver_events
 from tidemark.plans.together import together
 from tidemark.sources.files import path_exists
 from tidemark.sources.layout import Lake
-from tidemark.sources.scratch import staging_folder, stored
 from tidemark.sources.tables import read_table, replace_dates, write_table
 from tidemark.streaming.ingest import ingest_new_files
 
@@ -135,6 +134,17 @@ def _fact_dates(
     return list({*dates, *distinct_dates(moved)})
 
 
+def _numbered_cells(
+    cells: DataFrame, dates: list[date | None], gap_seconds: int, everything: bool
+) -> DataFrame:
+    """Cells of the given dates with their session numbers, counted over all cells of their keys."""
+    history = cells
+    if not everything:
+        active = cells.filter(in_dates(dates)).select(*sessions.KEY).distinct()
+        history = cells.join(active, sessions.KEY, "left_semi")
+    return sessions.number_sessions(history, gap_seconds).filter(in_dates(dates))
+
+
 def _replacing(rows: DataFrame, path: str, dates: list[date | None]) -> Callable[[], None]:
     return lambda: replace_dates(rows, path, dates)
 
@@ -158,23 +168,26 @@ def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int, through: dat
     }
     together(spark, *(_replacing(rows, lake.state(name), dates) for name, rows in parts.items()))
     customers, products, cells = (read_table(spark, lake.state(name)) for name in parts)
-
-    numbered = sessions.number_sessions(sessions.merge_cells(cells), gap_seconds)
-    with staging_folder(spark, "session_index") as folder:
-        index, *_ = together(
-            spark,
-            lambda: stored(numbered, folder),
-            lambda: write_table(models.merge_customers(customers), lake.gold_table("dim_customer")),
-            lambda: write_table(models.merge_products(products), lake.gold_table("dim_product")),
-        )
-        fact_dates = _fact_dates(bronze, silver, cells, dates, since, gap_seconds)
-        facts = fact_rows(silver.filter(in_dates(fact_dates)), index, gap_seconds)
-        summary = sessions.summarize_sessions(silver, index, gap_seconds)
-        together(
-            spark,
-            _replacing(facts, lake.gold_table("fact_events"), fact_dates),
-            lambda: write_table(summary, lake.gold_table("session_summary")),
-        )
+    fact_dates = _fact_dates(bronze, silver, cells, dates, since, gap_seconds)
+
+    numbered_path = lake.state(f"numbered_days_{gap_seconds}")
+    numbered = _numbered_cells(cells, fact_dates, gap_seconds, everything=since is None)
+    together(
+        spark,
+        _replacing(numbered, numbered_path, fact_dates),
+        lambda: write_table(models.merge_customers(customers), lake.gold_table("dim_customer")),
+        lambda: write_table(models.merge_products(products), lake.gold_table("dim_product")),
+    )
+    index = read_table(spark, numbered_path)
+    summary = sessions.summarize_sessions(silver, index, gap_seconds)
+    changed = in_dates(fact_dates)
+    numbers = sessions.one_number_per_cell(index.filter(changed))
+    facts = fact_rows(silver.filter(changed), numbers, gap_seconds)
+    together(
+        spark,
+        _replacing(facts, lake.gold_table("fact_events"), fact_dates),
+        lambda: write_table(summary, lake.gold_table("session_summary")),
+    )
     note_done(spark, lake, "gold", through, gap_seconds)
 
 
