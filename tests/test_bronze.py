@@ -114,3 +114,25 @@ def test_a_partitioned_write_makes_one_file_per_small_date(spark, tmp_path):
     )
     write_table(df, str(out))
     assert len(list(out.glob("event_date=*/*.parquet"))) == 30
+
+
+def test_unreadable_files_fail_unless_skipped(spark, raw, tmp_path):
+    (raw / "broken.csv.gz").write_bytes(b"\x1f\x8b\x08\x00not really")
+    schema = read_raw_events(spark, str(raw), "*.csv").schema
+    out = str(tmp_path / "bronze")
+    with pytest.raises(Exception, match="(?i)failed"):
+        run_bronze(spark, str(raw), out, "*.csv*", schema=schema)
+    assert run_bronze(spark, str(raw), out, "*.csv*", "overwrite", schema, skip_corrupt=True) == 4
+
+    table = read_table(spark, out).drop("event_date")
+    write_table(table, str(tmp_path / "t"))
+    (tmp_path / "t" / "part-broken.parquet").write_bytes(b"PAR1 no")
+    with pytest.raises(Exception):  # noqa: B017
+        read_table(spark, str(tmp_path / "t"), table.schema).collect()
+    assert len(read_table(spark, str(tmp_path / "t"), table.schema, skip_corrupt=True).collect()) == 4
+
+
+def test_an_empty_table_is_written(spark, tmp_path):
+    nothing = spark.range(10).filter("id > 99").groupBy("id").count()
+    assert write_table(nothing, str(tmp_path / "t")) == 0
+    assert read_table(spark, str(tmp_path / "t")).columns == ["id", "count"]

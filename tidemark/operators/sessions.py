@@ -164,6 +164,7 @@ def attach_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) -> Da
 
 
 def with_session_id(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
+    """Add ``session_id`` to events of silver's types, in which ``user_id`` is a bigint."""
     return attach_sessions(events, session_index(events, gap_seconds), gap_seconds)
 
 

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.ingest import stamp_ingestion
@@ -35,7 +34,4 @@ def run_bronze(
     if mode == "append" and path_exists(spark, f"{bronze_dir}/{SINK_LOG}"):
         raise ValueError(f"{bronze_dir} is filled by a stream, which would hide appended files")
     raw = read_raw_events(spark, raw_dir, pattern, schema, skip_corrupt)
-    written = Observation()
-    rows = stamp_ingestion(raw, ingested_at).observe(written, F.count(F.lit(1)).alias("rows"))
-    write_table(rows, bronze_dir, mode, gather)
-    return written.get["rows"]
+    return write_table(stamp_ingestion(raw, ingested_at), bronze_dir, mode, gather)

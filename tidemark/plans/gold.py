@@ -20,7 +20,11 @@ def fact_rows(silver: DataFrame, index: DataFrame, gap_seconds: int) -> DataFram
 
 
 def run_gold(
-    spark: SparkSession, silver_dir: str, gold_dir: str, session_gap_minutes: int = 30
+    spark: SparkSession,
+    silver_dir: str,
+    gold_dir: str,
+    session_gap_minutes: int = 30,
+    skip_corrupt: bool = False,
 ) -> None:
     """Rebuild the four gold tables from all of silver.
 
@@ -29,10 +33,10 @@ def run_gold(
     """
     require_utc(spark)
     gap_seconds = sessions.gap_from_minutes(session_gap_minutes)
-    silver = read_table(spark, silver_dir)
+    silver = read_table(spark, silver_dir, skip_corrupt=skip_corrupt)
     cells = sessions.session_index(silver, gap_seconds)
 
-    def write(name: str, rows: DataFrame) -> Callable[[], None]:
+    def write(name: str, rows: DataFrame) -> Callable[[], int]:
         return lambda: write_table(rows, f"{gold_dir}/{name}")
 
     with staging_folder(spark, "session_index") as folder:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dedupe import dedupe_events
 from tidemark.operators.standardize import (
@@ -24,10 +23,10 @@ def silver_events(bronze: DataFrame) -> DataFrame:
     return bronze.transform(keyed_events).transform(dedupe_events).transform(stable_order)
 
 
-def run_silver(spark: SparkSession, bronze_dir: str, silver_dir: str) -> int:
+def run_silver(
+    spark: SparkSession, bronze_dir: str, silver_dir: str, skip_corrupt: bool = False
+) -> int:
     """Rebuild silver from all of bronze and return its row count."""
     require_utc(spark)
-    written = Observation()
-    rows = silver_events(read_table(spark, bronze_dir))
-    write_table(rows.observe(written, F.count(F.lit(1)).alias("rows")), silver_dir)
-    return written.get["rows"]
+    bronze = read_table(spark, bronze_dir, skip_corrupt=skip_corrupt)
+    return write_table(silver_events(bronze), silver_dir)

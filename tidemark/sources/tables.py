@@ -13,10 +13,16 @@ DATE_COLUMN = "event_date"
 _UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    skip_corrupt: bool = False,
+) -> DataFrame:
+    """Scan a table; ``skip_corrupt`` silently leaves out files that cannot be read."""
+    reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
     try:
-        return reader.parquet(path)
+        return (reader if schema is None else reader.schema(schema)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no table at {path}") from error
@@ -32,13 +38,17 @@ def by_date(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", DATE_COLUMN)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", gather: bool = True) -> None:
-    """Write a table, partitioned by ``event_date`` if it has one."""
-    if DATE_COLUMN not in df.columns:
-        df.write.mode(mode).parquet(path)
-        return
-    rows = by_date(df) if gather else df
-    rows.write.mode(mode).partitionBy(DATE_COLUMN).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", gather: bool = True) -> int:
+    """Write a table, partitioned by ``event_date`` if it has one, and return its row count.
+
+    Rows are counted in the writing tasks, which Spark counts once even if a task is run again.
+    """
+    dated = DATE_COLUMN in df.columns
+    written = Observation()
+    rows = by_date(df) if dated and gather else df
+    writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    (writer.partitionBy(DATE_COLUMN) if dated else writer).parquet(path)
+    return written.get.get("rows", 0)
 
 
 def replace_dates(df: DataFrame, path: str, dates: list[date | None]) -> None:
@@ -48,9 +58,10 @@ def replace_dates(df: DataFrame, path: str, dates: list[date | None]) -> None:
     off halfway is put right by running it again.
     """
     filled = Observation()
-    rows = df.observe(filled, F.collect_set(_partition_name(F.col(DATE_COLUMN))).alias("names"))
+    names = F.collect_set(_partition_name(F.col(DATE_COLUMN))).alias("names")
     (
-        by_date(rows)
+        by_date(df)
+        .observe(filled, names)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE_COLUMN)
@@ -59,7 +70,7 @@ def replace_dates(df: DataFrame, path: str, dates: list[date | None]) -> None:
     # A dynamic overwrite leaves partitions alone that got no rows; these have to become empty.
     wanted = {_UNDATED if d is None else d.isoformat() for d in dates}
     nothing = df.drop(DATE_COLUMN).limit(0)
-    for name in sorted(wanted - set(filled.get["names"])):
+    for name in sorted(wanted - set(filled.get.get("names", []))):
         nothing.write.mode("overwrite").parquet(f"{path}/{DATE_COLUMN}={name}")
 
 
