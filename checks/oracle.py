@@ -276,6 +276,12 @@ def all_sql() -> dict[str, str]:
         "session_summary": _with(KEYED_SHOP + _sessions(1800), SUMMARY),
         "session_summary_by_id": _with(KEYED_SHOP + _sessions(1800), SUMMARY),
         "session_summary_dirty": _with(dirty, SUMMARY),
+        "order_session_summary": _with(
+            ORDERS.replace("ev AS (", "lines AS (", 1)
+            + f", ev AS (SELECT *, {EVENT_ID} AS event_id FROM lines)"
+            + _sessions(1800),
+            SUMMARY,
+        ),
         "events_per_date": _with(BRONZE, per_date),
         "first_dates": _with(BRONZE, f"{per_date} ORDER BY event_date NULLS FIRST LIMIT 20"),
         "layer_counts": _with(

@@ -190,6 +190,13 @@ def session_summary_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.summarize_sessions(events, sessions.session_index(events, gap), gap)
 
 
+def order_session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a bulk load in which whole orders share one time."""
+    events = standardize.with_event_id(order_events(spark, sf_dir))
+    gap = sessions.DEFAULT_GAP_SECONDS
+    return sessions.summarize_sessions(events, sessions.session_index(events, gap), gap)
+
+
 def events_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspect.rows_per_date(bronze_rows(spark, sf_dir))
 
@@ -344,6 +351,7 @@ _QUERIES = (
     session_summary,
     session_summary_by_id,
     session_summary_dirty,
+    order_session_summary,
     events_per_date,
     first_dates,
     layer_counts,

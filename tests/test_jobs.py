@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import EVENT_TYPES
 from tests.test_bronze import put
+from tidemark.operators.changes import events_after, processed_through
 from tidemark.plans import run_bronze, run_gold, run_incremental, run_quality, run_silver
 from tidemark.plans.incremental import done_through
 from tidemark.sources.export import export_csv
@@ -156,6 +157,27 @@ def test_native_ids_move_between_dates(spark, tmp_path, lake):
     assert "2024-01-05" not in dates
 
 
+def test_a_first_sorted_file_does_not_change_the_columns(spark, tmp_path, lake):
+    raw = tmp_path / "raw"
+    put(raw, "1.csv", HEADER, *DAY_ONE)
+    run_incremental(spark, str(raw), lake)
+    put(raw, "0.csv", f"{HEADER},extra", f"{DAY_TWO[0]},x")
+    with pytest.raises(Exception, match=r"FAILED_READ_FILE.*0\.csv"):
+        run_incremental(spark, str(raw), lake)
+    put(raw, "0.csv", HEADER, DAY_TWO[0])
+    run_incremental(spark, str(raw), lake)
+    assert read_table(spark, lake.bronze).count() == len(DAY_ONE) + 1
+
+
+def test_events_after_what_was_processed(spark):
+    df = spark.createDataFrame(
+        [(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2)), (3, None)], "x int, event_ts timestamp"
+    )
+    assert [r.x for r in events_after(df, processed_through(df.filter("x = 1"))).collect()] == [2]
+    assert events_after(df, processed_through(df)).isEmpty()
+    assert events_after(df, processed_through(df.filter("x = 3"))).count() == 3
+
+
 @pytest.mark.parametrize("broken", ["refresh_silver", "refresh_gold", "note_done", "fact_rows", "merge_products"])
 def test_a_run_that_broke_off_is_made_good_by_the_next(spark, tmp_path, lake, monkeypatch, broken):
     from tidemark.operators import models

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.sessions import KEY, UNTIMED_BASE, UNTIMED_HEX_DIGITS, with_session_cell
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 
 def events_after(events: DataFrame, watermark: datetime | None) -> DataFrame:
     """Events strictly later than the watermark; exact only for feeds that arrive in order."""
@@ -17,6 +19,12 @@ def events_after(events: DataFrame, watermark: datetime | None) -> DataFrame:
     return events.filter(F.col("event_ts") > F.lit(watermark))
 
 
+def processed_through(events: DataFrame) -> datetime | None:
+    """The watermark a table stands for: its latest event time, null if it has none."""
+    micros = events.agg(F.unix_micros(F.max("event_ts"))).first()[0]
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
+
+
 def ingested_after(rows: DataFrame, since: datetime | None) -> DataFrame:
     return rows if since is None else rows.filter(F.col("ingest_ts") > F.lit(since))
 

@@ -8,7 +8,7 @@ is done is noted per layer only after its tables are written.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import models, sessions
 from tidemark.operators.changes import (
+    EPOCH,
     changed_sessions,
     dates_from,
     distinct_dates,
@@ -31,11 +32,11 @@ from tidemark.plans.silver import keyed_events, silver_events
 from tidemark.plans.together import together
 from tidemark.sources.files import path_exists
 from tidemark.sources.layout import Lake
+from tidemark.sources.raw import header_schema
 from tidemark.sources.tables import read_table, replace_dates, write_table
 from tidemark.streaming.ingest import ingest_new_files
 
 PROGRESS = "layer string, gap_seconds int, through_ts timestamp, noted_at timestamp"
-EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 def done_through(
     spark: SparkSession, lake: Lake, layer: str, gap_seconds: int | None = None
@@ -191,6 +192,14 @@ def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int, through: dat
     note_done(spark, lake, "gold", through, gap_seconds)
 
 
+def _raw_schema(spark: SparkSession, raw_dir: str, lake: Lake, pattern: str) -> T.StructType:
+    """The raw columns every file must have: those of the lake's first run, kept as an empty table."""
+    kept = lake.state("raw_columns")
+    if not path_exists(spark, kept):
+        spark.createDataFrame([], header_schema(spark, raw_dir, pattern)).write.parquet(kept)
+    return read_table(spark, kept).schema
+
+
 def run_incremental(
     spark: SparkSession,
     raw_dir: str,
@@ -203,8 +212,9 @@ def run_incremental(
     require_utc(spark)
     last = done_through(spark, lake, "bronze")
     instant = now_utc() if last is None else max(now_utc(), last + timedelta(microseconds=1))
+    declared = schema or _raw_schema(spark, raw_dir, lake, pattern)
     ingest_new_files(
-        spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, schema, instant
+        spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, declared, instant
     )
     note_done(spark, lake, "bronze", instant)
     refresh_silver(spark, lake, instant)
