@@ -13,7 +13,7 @@ def test_jobs_by_command(spark, tmp_path, capsys):
     raw, lake = str(tmp_path / "raw"), Lake(str(tmp_path / "lake"))
     put(tmp_path / "raw", "1.csv", HEADER, *DAY_ONE, *DAY_TWO)
     main(["bronze", "--raw-dir", raw, "--bronze-dir", lake.bronze])
-    main(["silver", "--bronze-dir", lake.bronze, "--silver-dir", lake.silver, "--show", "0"])
+    main(["silver", "--bronze-dir", lake.bronze, "--silver-dir", lake.silver, "--show", "0", "--mode", "overwrite"])
     main(["gold", "--silver-dir", lake.silver, "--gold-dir", lake.gold, "--session-gap-minutes", "60"])
     main(["quality", "--lake", lake.root, "--event-types", "view", "purchase"])
     main(["export", "--gold-dir", lake.gold, "--export-dir", f"{lake.root}/export"])
@@ -33,3 +33,5 @@ def test_jobs_by_command(spark, tmp_path, capsys):
 def test_folders_are_required():
     with pytest.raises(SystemExit):
         main(["gold", "--silver-dir", "x"])
+    with pytest.raises(SystemExit):
+        main(["silver", "--bronze-dir", "x", "--silver-dir", "y", "--mode", "append"])

@@ -79,11 +79,21 @@ def parser() -> argparse.ArgumentParser:
     def gap(sub):
         sub.add_argument("--session-gap-minutes", type=int, default=30)
 
+    def rebuilds(sub):
+        sub.add_argument(
+            "--mode",
+            choices=["overwrite"],
+            default="overwrite",
+            help="always a rebuild; the incremental job adds to a lake",
+        )
+
     sub = job("bronze", bronze, "raw-dir", "bronze-dir", show=5)
     glob(sub)
     sub.add_argument("--mode", choices=["append", "overwrite"], default="append")
-    job("silver", silver, "bronze-dir", "silver-dir", show=10)
-    gap(job("gold", gold, "silver-dir", "gold-dir", show=5))
+    rebuilds(job("silver", silver, "bronze-dir", "silver-dir", show=10))
+    sub = job("gold", gold, "silver-dir", "gold-dir", show=5)
+    gap(sub)
+    rebuilds(sub)
     sub = job("incremental", incremental, "raw-dir", "lake")
     glob(sub)
     gap(sub)
