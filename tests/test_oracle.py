@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.oracle import all_sql
+from checks.queries import all_queries
 from tests.compare import connect, differences
 from tests.conftest import MEDIUM, SMALL
 
@@ -13,13 +15,13 @@ def sql_tables():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_matches_sql(spark, sql_tables, name):
     only_spark, only_sql, ours, theirs = differences(
-        queries()[name](spark, MEDIUM), sql_tables, oracle_sql()[name]
+        all_queries()[name](spark, MEDIUM), sql_tables, all_sql()[name]
     )
     assert ours == theirs
     assert not only_spark and not only_sql, (
