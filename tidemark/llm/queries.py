@@ -5,15 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, toxicity
 from tidemark.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc.doc_id",
+        toxicity.is_held_out("doc.doc_id").alias("held_out"),
+        "found.score",
+        (F.col("found.score") >= toxicity.REJECT).cast("int").alias("predicted"),
+        "found.evidence",
+        F.size("found.passages").alias("n_passages"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
 }
