@@ -2,9 +2,10 @@
 
 Fit, on a bounded sample of labelled rows (``max_training``): count in how many toxic and clean texts each
 form occurs. The forms of a word are the word and its stems of ``STEMS`` leading letters, so that an
-inflection never seen in training is weighed by its stem. A form's weight is its log-odds between the classes under an
-informative Dirichlet prior (the form's share of all texts, times ``PRIOR_TEXTS``); forms whose weight reaches
-``MIN_ODDS`` and whose z-score reaches ``MIN_Z`` make up the lexicon. All other words weigh ``-DRIFT``.
+inflection never seen in training is weighed by its stem. A form's weight is a lower bound of its log-odds between
+the classes under an informative Dirichlet prior (the form's share of all texts, times ``PRIOR_TEXTS``); forms whose
+weight reaches a bar make up the lexicon. All other words weigh ``-DRIFT``, and the k-th occurrence of a word
+in a text has a k-th of its weight, since words come in bursts.
 
 Score, on whole texts: a linear scan finds all maximal scoring segments. Their scores S follow an
 extreme-value law in clean text: about K * words * exp(-lambda * S) segments reach S by chance. Lambda and K are
@@ -34,15 +35,17 @@ from tidemark.llm.common import as_row, staged
 
 STEMS = (6, 5, 4)
 PRIOR_TEXTS = 50.0
-MIN_Z = 3.0
-#: Weaker forms than this weigh as neutral words, so that text without toxic words drifts downwards.
-MIN_ODDS = 2.0
+#: A weight is the log-odds less so many standard errors, so that chance finds among rare forms weigh little.
+ERRORS = 1.5
+#: Weaker forms than ``bar`` weigh as neutral words, so that text without toxic words drifts downwards.
+#: The more texts, the more forms are tried, so the bar rises with the logarithm of their number.
+BAR, BAR_PER_LOG_TEXT = 0.75, 0.22
 DRIFT = 0.3
 #: Segments under this score are not counted when the extreme-value law is fitted.
 ISLAND = 1.0
 #: The fit reads at most so many labelled rows, those with the smallest hash of their id.
 MAX_TRAINING = 20_000
-#: The lexicon keeps at most so many forms, those with the highest z-score.
+#: The lexicon keeps at most so many forms, those with the highest weight.
 MAX_FORMS = 100_000
 REJECT = 0.7
 BIN = 0.25
@@ -66,6 +69,10 @@ def forms(word: str) -> list[str]:
     return [word, *(f"{word[:n]}~" for n in STEMS if len(word) > n)]
 
 
+def bar(texts: int) -> float:
+    return BAR + BAR_PER_LOG_TEXT * math.log(max(texts, 1))
+
+
 @dataclass(frozen=True)
 class Counts:
     """Texts of each class, and how many of each contain a form."""
@@ -75,27 +82,27 @@ class Counts:
     of_form: dict[str, tuple[int, int]]
 
     def weight(self, form: str, less_toxic: int = 0, less_clean: int = 0) -> float:
-        """Log-odds of a form if it is significant, else 0; optionally without one text."""
+        """Weight of a form if it reaches the lexicon, else 0; optionally without one text."""
         if form not in self.of_form:
             return 0.0
         with_toxic, with_clean = self.of_form[form]
-        odds, z = log_odds(
+        bound = lower_log_odds(
             with_toxic - less_toxic,
             with_clean - less_clean,
             self.toxic - less_toxic,
             self.clean - less_clean,
         )
-        return odds if z >= MIN_Z and odds >= MIN_ODDS else 0.0
+        return bound if bound >= bar(self.toxic + self.clean) else 0.0
 
 
-def log_odds(with_toxic: int, with_clean: int, toxic: int, clean: int) -> tuple[float, float]:
-    """Log-odds ratio under the informative Dirichlet prior, and its z-score."""
+def lower_log_odds(with_toxic: int, with_clean: int, toxic: int, clean: int) -> float:
+    """Log-odds ratio under the informative Dirichlet prior, less ``ERRORS`` standard errors."""
     if with_toxic <= 0 or clean <= 0:
-        return 0.0, 0.0
+        return 0.0
     prior = PRIOR_TEXTS * (with_toxic + with_clean) / (toxic + clean)
     a, b = with_toxic + prior, with_clean + prior
     odds = math.log(a / (toxic + PRIOR_TEXTS - a)) - math.log(b / (clean + PRIOR_TEXTS - b))
-    return odds, odds / math.sqrt(1 / a + 1 / b)
+    return odds - ERRORS * math.sqrt(1 / a + 1 / b)
 
 
 class Weights(dict):
@@ -142,7 +149,13 @@ def maximal_segments(places: np.ndarray, weights: np.ndarray) -> list[tuple[int,
 def segments_of(tokens: list[str], weights: Weights) -> list[tuple[int, int, float]]:
     values = np.fromiter(map(weights.__getitem__, tokens), dtype=np.float64, count=len(tokens))
     places = np.flatnonzero(values)
-    return maximal_segments(places, values[places]) if len(places) else []
+    if not len(places):
+        return []
+    seen: Counter = Counter()
+    for place in places.tolist():
+        seen[tokens[place]] += 1
+        values[place] /= seen[tokens[place]]
+    return maximal_segments(places, values[places])
 
 
 def evidence(scores: list[float], n_words: int, law: tuple[float, float]) -> float:
@@ -216,11 +229,11 @@ def _count_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit_counts(training: DataFrame, max_forms: int) -> Counts:
-    """Class sizes and the counts of the significant forms, at most ``max_forms`` of them."""
+    """Class sizes and the counts of the forms of the lexicon, at most ``max_forms`` of them."""
     counted = training.mapInPandas(
         _count_forms, "form string, with_clean long, with_toxic long"
     ).groupBy("form").agg(F.sum("with_clean").alias("with_clean"), F.sum("with_toxic").alias("with_toxic"))
-    # A form seen in one toxic text only cannot be significant.
+    # A form of one toxic text only cannot reach the lexicon.
     counted = staged(counted.filter((F.col("with_toxic") >= 2) | (F.col("form") == "")), "forms")
     sizes = counted.filter("form = ''").collect()
     clean, toxic = (sizes[0]["with_clean"], sizes[0]["with_toxic"]) if sizes else (0, 0)
@@ -233,9 +246,9 @@ def fit_counts(training: DataFrame, max_forms: int) -> Counts:
     odds = F.log(a / (toxic + PRIOR_TEXTS - a)) - F.log(b / (clean + PRIOR_TEXTS - b))
     lexicon = (
         counted.filter("form <> ''")
-        .withColumns({"odds": odds, "z": odds / F.sqrt(1 / a + 1 / b)})
-        .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS))
-        .orderBy(F.desc("z"), "form")
+        .withColumn("weight", odds - ERRORS * F.sqrt(1 / a + 1 / b))
+        .filter(F.col("weight") >= bar(toxic + clean))
+        .orderBy(F.desc("weight"), "form")
         .limit(max_forms)
         .collect()
     )
