@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, toxicity
+from tidemark.llm import exact_dedup, mixing, toxicity
 from tidemark.llm.common import table
 
 
@@ -24,11 +24,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Shares of sources and languages drawn towards each other; topics keep theirs.
+MIX_TARGETS: dict[str, mixing.Target] = {"source": 0.5, "lang": 0.7, "topic": 1.0}
+MIX_FRACTION = 0.7
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.sample(table(spark, sf_dir, "documents"), MIX_TARGETS, MIX_FRACTION)
+    return drawn.select(
+        "doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_probability", "mix_weight"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op3_mixing": op3_mixing,
     "op9_exact_dedup": op9_exact_dedup,
 }
