@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, mixing, toxicity
+from tidemark.llm import decontaminate, exact_dedup, mixing, ngram_join, toxicity
 from tidemark.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -49,6 +53,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_mixing": op3_mixing,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
 }
