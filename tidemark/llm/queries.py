@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, mixing, ngram_join, toxicity
+from tidemark.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, toxicity
 from tidemark.llm.common import table
 
 
@@ -50,10 +50,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_mixing": op3_mixing,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_license_scan": op10_license_scan,
 }
