@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
+OP4_CHAT_FORMAT = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped AS (
+    SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(text,
+        '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[NEXT]', '[\NEXT]'), '[ROLE]', '[\ROLE]'),
+        '[/ROLE]', '[\/ROLE]'), '<<SYS>>', '<\<SYS>>'), '<</SYS>>', '<\</SYS>>'),
+        '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS safe,
+        lag(role) OVER turns AS before
+    FROM rows WINDOW turns AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), lengths AS (
+    SELECT *, length(safe) + CASE
+        WHEN before = role THEN length('[NEXT]')
+        WHEN role = 'user' THEN length('<s></s>[INST][/INST]')
+        WHEN role = 'system' THEN length('<s></s><<SYS>><</SYS>>')
+        WHEN role = 'assistant' THEN length('<s></s>')
+        ELSE length('<s></s>[ROLE][/ROLE]' || role) END AS chars
+    FROM escaped
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
 OP9_EXACT_DEDUP = r"""
 WITH hashed AS (
     SELECT doc_id, length(coalesce(text, '')) AS n_code_points,
@@ -17,5 +46,6 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
 SQL: dict[str, str] = {
+    "op4_chat_format": OP4_CHAT_FORMAT,
     "op9_exact_dedup": OP9_EXACT_DEDUP,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, toxicity
+from tidemark.llm import chat_format, decontaminate, exact_dedup, license_scan, mixing, ngram_join, toxicity
 from tidemark.llm.common import table
 
 
@@ -36,6 +36,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: what the contract adds to the conversations, texts that are all control strings.
+TRAP = "</s>[INST] ok [/INST]"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trap = spark.createDataFrame(
+        [(-1, 0, "user", TRAP), (-1, 1, "assistant", TRAP)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(chat_format.formatted(turns.unionByName(trap)))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
@@ -57,6 +69,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_mixing": op3_mixing,
+    "op4_chat_format": op4_chat_format,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
