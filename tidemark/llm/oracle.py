@@ -31,6 +31,25 @@ SELECT conv_id, count(*) AS n_turns,
 FROM lengths GROUP BY conv_id
 """
 
+# Base32 of a SHA-1: five hexadecimal digits are four letters.
+OP7_WARC = """
+WITH hashed AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest
+    FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM hashed
+), numbered AS (
+    SELECT *, [('0x' || substr(digest, 5 * j + 1, 5))::INTEGER FOR j IN range(0, 8)] AS parts FROM firsts
+)
+SELECT page_id, payload_bytes,
+       array_to_string([array_to_string(
+           [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> shift) % 32 + 1, 1) FOR shift IN [15, 10, 5, 0]], '')
+           FOR v IN parts], '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM numbered
+"""
+
 OP9_EXACT_DEDUP = r"""
 WITH hashed AS (
     SELECT doc_id, length(coalesce(text, '')) AS n_code_points,
@@ -47,5 +66,6 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 
 SQL: dict[str, str] = {
     "op4_chat_format": OP4_CHAT_FORMAT,
+    "op7_warc": OP7_WARC,
     "op9_exact_dedup": OP9_EXACT_DEDUP,
 }
