@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, license_scan, mixing, ngram_join, toxicity, warc
+from tidemark.llm import chat_format, decontaminate, exact_dedup, license_scan, mixing, ngram_join, substring_dedup, toxicity, warc
 from tidemark.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).select("doc.doc_id", "found.*")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
