@@ -3,9 +3,10 @@
 1. Texts become sets of hashed shingles; equal sets are one vertex from here on. On the way the shingles
    are counted in ``SLOTS`` hash slots, whose ranks order all shingles, rare slots first: a passage or line that many documents
    share sorts last.
-2. Sets that link share one of their first ``n - ceil(0.75 n) + 1`` shingles in that order, so only these prefixes are
-   shuffled. All sets with a prefix shingle in common join the block of the smallest of them: the two ends of
-   every possible link meet in at least one block.
+2. Sets that link share some of their first shingles in that order, so only these prefixes, a third of a set, are
+   shuffled. How many they share at least follows from the sizes (``needed_keys``): a set of which fewer prefix
+   shingles occur anywhere else links with nothing and leaves, twice. All remaining sets with a prefix shingle in
+   common join the block of the smallest of them: the two ends of every possible link meet in at least one block.
 3. In a block an R-tree indexes the sets as points of group counts. The summed coordinate minima bound the overlap
    with a node or a point; pairs that survive are verified on the full sets. Pairs that are in one class already are
    passed over, so a block of near copies costs about a search per member, and links that span its classes are all
@@ -22,6 +23,7 @@ Hashes are 64 bits wide: a false match of two sets or shingles is possible, at o
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +34,18 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged
 from tidemark.llm.components import roots
 from tidemark.llm.count_tree import CountTree, Forest, count_vector, groups_for, spanning_links
-from tidemark.llm.shingles import PERCENT, WordHashes, overlap, set_id, shingle_set
+from tidemark.llm.shingles import PERCENT, WordHashes, least_overlap, overlap, set_id, shingle_set
 
-SLOT_BITS = 14
+SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 LOW_BITS = 64 - SLOT_BITS
 LOW_MASK = np.uint64((1 << LOW_BITS) - 1)
 #: Shingles in one page of a block, 16 MB of them.
 PAGE_SHINGLES = 2_000_000
+#: One of so many shingles of a set is in its prefix, at least.
+PREFIX_PART = 3
+#: Ids of the documents whose sets are compared are broadcast up to this number, 16 MB of them.
+BROADCAST_IDS = 1_000_000
 
 
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -55,14 +61,15 @@ def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(
             {"doc_id": batch["doc_id"].astype("Int64"), "vertex": vertices, "n": sizes, "slots": None}
         )
-    yield pd.DataFrame({"doc_id": [None], "vertex": [0], "n": [-1], "slots": [slots.astype("<i8").tobytes()]})
+    packed = zlib.compress(slots.astype("<i8").tobytes(), 1)
+    yield pd.DataFrame({"doc_id": [None], "vertex": [0], "n": [-1], "slots": [packed]})
 
 
 def _sum_slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(SLOTS, dtype=np.int64)
     for batch in batches:
         for slots in batch["slots"]:
-            total += np.frombuffer(slots, dtype="<i8")
+            total += np.frombuffer(zlib.decompress(slots), dtype="<i8")
     yield pd.DataFrame({"slot": np.arange(SLOTS), "shingles": total})
 
 
@@ -83,40 +90,80 @@ def slot_ranks(described: DataFrame) -> np.ndarray:
     return ranks
 
 
+def prefix_length(n: int) -> int:
+    """At least one more than a set can lack of a partner's shingles."""
+    return max(n - -(-PERCENT * n // 100) + 1, -(-n // PREFIX_PART))
+
+
+def needed_keys(n: int) -> int:
+    """The fewest prefix shingles that a set of ``n`` shares with any set it links with.
+
+    Of two sets let the one whose prefix ends first have ``r`` shingles after it. All that they share up to there is in both
+    prefixes, so they share at most ``r`` more. What a link needs less ``r`` is least for the smallest or the largest
+    possible partner; one less makes up for rounding between them.
+    """
+    fewest = []
+    for partner in (-(-PERCENT * n // 100), 100 * n // PERCENT):
+        after = max(n - prefix_length(n), partner - prefix_length(partner))
+        fewest.append(least_overlap(n, partner) - after)
+    return max(1, min(fewest) - 1)
+
+
 def prefix_of(shingles: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """The shingles of the prefix, renamed by the rank of their slot; one to one."""
     named = (ranks[shingles >> np.uint64(LOW_BITS)] << np.uint64(LOW_BITS)) | (shingles & LOW_MASK)
-    length = len(named) - -(-PERCENT * len(named) // 100) + 1
+    length = prefix_length(len(named))
     if length < len(named):
         named = np.partition(named, length - 1)[:length]
     return named.view(np.int64)
 
 
 def prefix_rows(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """vertex, n, key for every prefix shingle of every document."""
+    """vertex, n, needed, key for every prefix shingle of every document."""
 
-    @F.pandas_udf("struct<vertex:bigint,n:int,keys:array<bigint>>")
+    @F.pandas_udf("struct<vertex:bigint,n:int,needed:int,keys:array<bigint>>")
     def prefixes(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for texts in parts:
             rows = []
             for text in texts:
                 shingles = shingle_set(text, hashes)
-                keys = prefix_of(shingles, ranks) if len(shingles) else shingles.view(np.int64)
-                rows.append((set_id(shingles), len(shingles), keys))
-            yield pd.DataFrame(rows, columns=["vertex", "n", "keys"])
+                n = len(shingles)
+                keys = prefix_of(shingles, ranks) if n else shingles.view(np.int64)
+                rows.append((set_id(shingles), n, needed_keys(n) if n else 0, keys))
+            yield pd.DataFrame(rows, columns=["vertex", "n", "needed", "keys"])
+
+    return docs.select(prefixes("text").alias("p")).select(
+        "p.vertex", "p.n", "p.needed", F.explode("p.keys").alias("key")
+    )
+
 
-    return docs.select(prefixes("text").alias("p")).select("p.vertex", "p.n", F.explode("p.keys").alias("key"))
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows of keys that more than one vertex has, and the smallest vertex of the key."""
+    of_key = Window.partitionBy("key")
+    return rows.withColumns(
+        {"leader": F.min("vertex").over(of_key), "last": F.max("vertex").over(of_key)}
+    ).filter("leader <> last").drop("last")
+
+
+def _with_enough(shared: DataFrame) -> DataFrame:
+    """Rows of the vertices that share as many keys as a link needs."""
+    enough = (
+        shared.groupBy(F.col("vertex").alias("enough"))
+        .agg(F.count(F.lit(1)).alias("keys"), F.max("needed").alias("least"))
+        .filter("keys >= least")
+        .select("enough")
+    )
+    return shared.join(enough, F.col("vertex") == F.col("enough"), "left_semi")
 
 
 def blocks_of(prefixes: DataFrame) -> DataFrame:
     """leader, vertex, n: every block with all its members, the leader among them."""
-    of_key = Window.partitionBy("key")
-    shared = (
-        prefixes.withColumns({"leader": F.min("vertex").over(of_key), "last": F.max("vertex").over(of_key)})
-        .filter("leader <> last")
-    )
-    return shared.select("leader", "vertex", "n").distinct()
+    rows = prefixes
+    for turn in ("shared", "shared-again"):
+        shared = _shared(rows).select("key", "leader", "vertex", "n", "needed").distinct()
+        rows = _with_enough(staged(shared, turn)).drop("leader")
+    return _shared(rows).select("leader", "vertex", "n").distinct()
 
 
 def _paged(blocks: DataFrame, page_shingles: int) -> tuple[DataFrame, int]:
@@ -146,6 +193,8 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             sets = [shingle_set(text, hashes) for text in texts]
             yield pd.DataFrame({"vertex": [set_id(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     chosen = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("set_doc_id")), "left_semi")
     return chosen.select(shingled("text").alias("s")).select("s.*")
 
@@ -239,11 +288,8 @@ def components(docs: DataFrame, page_shingles: int = PAGE_SHINGLES) -> DataFrame
     )
     pages, most = _paged(staged(blocks_of(prefix_rows(docs, ranks)), "blocks"), page_shingles)
     pages = staged(pages, "pages")
-    wanted = pages.select("vertex").distinct().join(classes, "vertex")
-    sets = staged(
-        sets_of(docs, wanted.select(F.col("least").alias("set_doc_id")).distinct()).dropDuplicates(["vertex"]),
-        "sets",
-    )
+    wanted = pages.select("vertex").distinct().join(classes, "vertex").select(F.col("least").alias("set_doc_id"))
+    sets = staged(sets_of(docs, staged(wanted.distinct(), "wanted")).dropDuplicates(["vertex"]), "sets")
     links = staged(_links(pages.withColumn("visits", F.lit(False)), sets), "links")
     root_of = roots(links, "a", "b")
     if most > 1:
