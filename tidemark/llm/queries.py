@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, license_scan, mixing, ngram_join, substring_dedup, toxicity, warc
+from tidemark.llm import chat_format, decontaminate, exact_dedup, license_scan, line_dedup, mixing, ngram_join, substring_dedup, toxicity, warc
 from tidemark.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc.doc_id", "found.*")
+
+
 #: Shares of sources and languages drawn towards each other; topics keep theirs.
 MIX_TARGETS: dict[str, mixing.Target] = {"source": 0.5, "lang": 0.7, "topic": 1.0}
 MIX_FRACTION = 0.7
@@ -76,6 +80,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
     "op3_mixing": op3_mixing,
     "op4_chat_format": op4_chat_format,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
