@@ -1,0 +1,108 @@
+"""The operators once more, by plain loops over all documents."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter, defaultdict
+
+LOWERED = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWERED))
+
+
+def shingles(text: str | None) -> frozenset:
+    w = words(text)
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def similar(sets: list[frozenset]) -> dict[tuple[int, int], int]:
+    """Overlap of all pairs (i < j) of which 100 * intersection >= 75 * union."""
+    having, shared = defaultdict(list), Counter()
+    for j, s in enumerate(sets):
+        for x in s:
+            for i in having[x]:
+                shared[i, j] += 1
+            having[x].append(j)
+    return {(i, j): n for (i, j), n in shared.items() if 100 * n >= 75 * (len(sets[i]) + len(sets[j]) - n)}
+
+
+def components(rows: list[tuple[int | None, str | None]]) -> list[tuple[int | None, int, int | None]]:
+    """(doc_id, n_shingles, component_id) of every row, sorted."""
+    sets = [shingles(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in similar(sets):
+        parent[root(i)] = root(j)
+    least: dict[int, int] = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(k)] = min(least.get(root(k), doc_id), doc_id)
+    out = [
+        (doc_id, len(sets[k]), least.get(root(k)) if sets[k] else doc_id) for k, (doc_id, _) in enumerate(rows)
+    ]
+    return sorted(out, key=str)
+
+
+def spans_removed(rows, sentences_of) -> dict[int, tuple[str, int]]:
+    """doc_id: (text that stays, removed sentences), for rows in order."""
+    seen, out = set(), {}
+    for doc_id, text in rows:
+        sentences = sentences_of(text)
+        split = [s.lower().split() for s in sentences]
+        gone = [False] * len(sentences)
+        for i in range(len(sentences)):
+            j, total = i, 0
+            if len(split[i]) >= 40:
+                j = i + 1
+            else:
+                while j < len(sentences) and (total < 20 or j - i < 2):
+                    total, j = total + len(split[j]), j + 1
+                if total < 20 or j - i < 2:
+                    continue
+            key = " ".join(sum(split[i:j], []))
+            if key in seen:
+                gone[i:j] = [True] * (j - i)
+            seen.add(key)
+        out[doc_id] = ("".join(s for s, g in zip(sentences, gone, strict=True) if not g), sum(gone))
+    return out
+
+
+def lines_removed(rows, least_words: int = 5) -> dict[int, tuple[str, int]]:
+    """doc_id: (text that stays, removed lines), for rows in order."""
+    seen: list[frozenset] = []
+    having = defaultdict(list)
+    out = {}
+    for doc_id, text in rows:
+        stays, lines = [], (text or "").split("\n")
+        for line in lines:
+            w = frozenset(words(line))
+            if len(w) >= least_words:
+                shared = Counter(i for x in w for i in having[x])
+                if any(100 * n >= 75 * (len(w) + len(seen[i]) - n) for i, n in shared.items()):
+                    hit = True
+                else:
+                    hit = False
+                for x in w:
+                    having[x].append(len(seen))
+                seen.append(w)
+                if hit:
+                    continue
+            stays.append(line)
+        out[doc_id] = ("\n".join(stays), len(lines) - len(stays))
+    return out
+
+
+def license_places(text: str | None) -> tuple:
+    """(n_words, n_base, first_word, last_word, base_labels)."""
+    phrases = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
+    w = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWERED))
+    found = [(i, label) for p, label in phrases.items() for i in range(len(w)) if tuple(w[i : i + len(p)]) == p]
+    starts = [i for i, _ in found]
+    return (len(w), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found})))

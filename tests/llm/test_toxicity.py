@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import MEDIUM
+from tidemark.llm import toxicity
+from tidemark.llm.common import table
+
+
+def segments_by_definition(weights: list[float]) -> list[tuple[int, int, float]]:
+    """Maximal scoring segments: the best one, then the same left and right of it."""
+    best = None
+    for i in range(len(weights)):
+        total = 0.0
+        for j in range(i, len(weights)):
+            total += weights[j]
+            if total > 1e-12 and (best is None or total > best[2] + 1e-9):
+                best = (i, j, total)
+    if best is None:
+        return []
+    i, j, _ = best
+    right = [(a + j + 1, b + j + 1, s) for a, b, s in segments_by_definition(weights[j + 1 :])]
+    return [*segments_by_definition(weights[:i]), best, *right]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([0.0, 0.0, 0.7, 1.13, 2.6, 5.21]), max_size=25))
+def test_linear_scan_finds_all_maximal_segments(values):
+    places = np.flatnonzero(values)
+    found = toxicity.maximal_segments(places, np.array(values)[places]) if len(places) else []
+    want = segments_by_definition([v or -toxicity.DRIFT for v in values])
+    assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in want]
+    assert np.allclose([s for *_, s in found], [s for *_, s in want])
+
+
+def test_linear_on_a_long_text():
+    values = np.array([random.Random(3).choice([0.5, 1.5, 3.0]) for _ in range(200_000)])
+    assert len(toxicity.maximal_segments(np.arange(len(values)) * 7, values)) > 0
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).select(
+        "doc.doc_id", "found.score", toxicity.is_held_out("doc.doc_id").alias("held_out")
+    )
+    rows = scored.filter("held_out").join(labels, "doc_id").collect()
+    toxic = [r.score for r in rows if r.toxic]
+    clean = [r.score for r in rows if not r.toxic]
+    # 33 toxic training texts do not show every toxic word; what is found must be right.
+    assert sum(s >= toxicity.REJECT for s in toxic) >= 0.6 * len(toxic)
+    assert not any(s >= toxicity.REJECT for s in clean)
+
+
+def test_learns_each_language_from_stems(spark):
+    """Inflected words that training never shows are found by their stems; clean texts are left alone."""
+    r = random.Random(5)
+    filler = ["".join(r.choice("abdeilmnorst") for _ in range(r.randrange(2, 9))) for _ in range(400)]
+    endings = ["a", "en", "ung", "isch", "ando", "eur", "ette", "lich", "ado", "oso"]
+    rows, labels = [], []
+    for doc_id in range(1500):
+        text = [r.choice(filler) for _ in range(r.randrange(20, 80))]
+        toxic = doc_id % 8 == 0
+        for _ in range(3 if toxic else 0):
+            text.insert(r.randrange(len(text)), "zukkra" + r.choice(endings) + r.choice(endings))
+        rows.append((doc_id, " ".join(text)))
+        labels.append((doc_id, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scored = toxicity.score(docs, toxicity.fit(docs, marks)).join(marks, F.col("doc.doc_id") == F.col("doc_id"))
+    wrong = scored.filter((F.col("found.score") >= toxicity.REJECT) != (F.col("toxic") == 1)).count()
+    assert wrong <= 5
+
+
+def test_labels_of_the_held_out_third_are_not_read(spark):
+    docs, labels = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "labels")
+    turned = labels.withColumn(
+        "toxic", F.when(toxicity.is_held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic"))
+    )
+    assert toxicity.fit(docs, labels) == toxicity.fit(docs, turned)

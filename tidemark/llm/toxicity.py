@@ -124,26 +124,27 @@ def maximal_segments(places: np.ndarray, weights: np.ndarray) -> list[tuple[int,
     """All maximal scoring segments (first word, last word, score) of a text.
 
     ``places`` are the words of positive weight; every other word weighs ``-DRIFT``. A segment is kept as
-    (first, last, total before it, total at its end). A new one absorbs its predecessors back to the nearest
-    one that starts lower, if its own end is higher than that one's end; each is absorbed once, so the
-    scan is linear.
+    (first, last, total before it, total at its end, the nearest segment before it that starts lower). A new one
+    follows these links back to the nearest that starts lower, and absorbs all from there on if its own end
+    is higher than that one's; the links skip what cannot start lower, so the scan is linear.
     """
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     total, previous = 0.0, -1
     for place, weight in zip(places.tolist(), weights.tolist(), strict=True):
         total -= DRIFT * (place - previous - 1)
-        segment = (place, place, total, total + weight)
+        first, before = place, total
         total, previous = total + weight, place
+        back = len(found) - 1
         while True:
-            back = len(found) - 1
-            while back >= 0 and found[back][2] >= segment[2]:
-                back -= 1
-            if back < 0 or found[back][3] >= segment[3]:
+            while back >= 0 and found[back][2] >= before:
+                back = found[back][4]
+            if back < 0 or found[back][3] >= total:
                 break
-            segment = (found[back][0], segment[1], found[back][2], segment[3])
+            first, _, before, _, lower = found[back]
             del found[back:]
-        found.append(segment)
-    return [(first, last, end - before) for first, last, before, end in found]
+            back = lower
+        found.append((first, place, before, total, back))
+    return [(first, last, end - before) for first, last, before, end, _ in found]
 
 
 def segments_of(tokens: list[str], weights: Weights) -> list[tuple[int, int, float]]:
@@ -225,7 +226,8 @@ def _count_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tallies[int(label > 0)].update(seen)
             if len(tallies[0]) + len(tallies[1]) > 300_000:
                 yield flush()
-    yield flush()
+    if tallies[0] or tallies[1]:
+        yield flush()
 
 
 def fit_counts(training: DataFrame, max_forms: int) -> Counts:
