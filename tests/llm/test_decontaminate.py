@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.conftest import MEDIUM
+from tidemark.llm import decontaminate as dc
+from tidemark.llm.common import table
+
+
+def tiles_by_definition(item: list[str], doc: list[str]) -> int:
+    """Marked tokens of the item: the longest unmarked common run, again and again, by all pairs of places."""
+    marked_item, marked_doc, total = [False] * len(item), [False] * len(doc), 0
+    while True:
+        best = (0, 0, 0)
+        for j in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while (
+                    i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n]
+                    and not marked_item[i + n] and not marked_doc[j + n]
+                ):
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < dc.MIN_MATCH:
+            return total
+        for k in range(n):
+            marked_item[i + k] = marked_doc[j + k] = True
+        total += n
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), min_size=4, max_size=16), st.lists(st.sampled_from("abcde"), max_size=30))
+def test_tiling_equals_its_definition(item, doc):
+    found = dc.Block.of([(1, " ".join(item))]).matches(" ".join(doc))
+    covered = round(found[0][1] * len(item)) if found else 0
+    assert covered == tiles_by_definition(item, doc)
+
+
+def test_reordered_passages_are_caught_and_others_left_alone(spark):
+    r = random.Random(3)
+    item = [f"w{r.randrange(10_000)}" for _ in range(40)]
+    parts = [item[k : k + 8] for k in range(0, 40, 8)]
+    other = [f"v{k}" for k in range(300)]
+    mixed = other[:50] + sum((p + other[60:63] for p in reversed(parts)), []) + other[100:]
+    docs = spark.createDataFrame(
+        [(1, " ".join(mixed), "x"), (2, " ".join(other), "x"), (3, " ".join(item[:15] + other), "x"), (4, " ".join(item).upper(), "x")],
+        "doc_id long, text string, coverage string",
+    )
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id: r for r in dc.contaminations(docs, bench).collect()}
+    assert set(found) == {1, 4} and found[1].n_tiles == 5 and found[1].coverage == 1.0
+    assert {r.doc_id for r in dc.keep_clean(docs, bench).collect()} == {2, 3}
+    assert dc.keep_clean(docs, bench).columns == docs.columns
+
+
+def test_blocks_do_not_change_the_result(spark):
+    docs, bench = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "benchmark")
+    whole = dc.contaminations(docs, bench)
+    small = dc.contaminations(docs, bench, block_bytes=2000)
+    assert len(list(dc.blocks_of(bench, 2000))) > 3
+    assert whole.exceptAll(small).count() == small.exceptAll(whole).count() == 0
+    passages = {r.item_id: r.text for r in bench.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    planted = {d for d, t in texts.items() if any(p in t for p in passages.values())}
+    assert planted and {r.doc_id for r in whole.collect()} >= planted
+    assert dc.keep_clean(docs, bench, block_bytes=2000).count() == len(texts) - len({r.doc_id for r in whole.collect()})

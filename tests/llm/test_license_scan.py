@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+from tests.conftest import MEDIUM
+from tests.llm import brute
+from tidemark.llm import license_scan
+from tidemark.llm.common import table
+from tidemark.llm.license_rules import Rule, rules
+
+TEXTS = {
+    1: "This file is licensed under the Apache License, Version 2.0 (the License).",
+    2: "GNU Lesser General Public License v2.1 or later",
+    3: "CC-BY 4.0; cc by-nc-sa 4.0",
+    4: "SPDX-License-Identifier: MIT",
+    5: "nothing to see, mit dem licht",
+    6: "All rights\treserved. ALL RIGHTS RESERVED!",
+    7: "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    8: "general  public\nlicense",
+    9: "the generalpublic license, cc byte",
+}
+
+
+def scanned(spark, texts, extra=None):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id: r for r in license_scan.scan(docs, extra).collect()}
+
+
+def test_labels(spark):
+    out = scanned(spark, TEXTS)
+    assert {k: r.labels for k, r in out.items()} == {
+        1: "apache-2.0", 2: "gpl,lgpl-2.1", 3: "cc-by,cc-by-nc-sa", 4: "mit", 5: "",
+        6: "reserved", 7: "mit", 8: "gpl", 9: "",
+    }
+    for k, r in out.items():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.license_places(TEXTS[k])
+        assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+
+
+def test_containment(spark):
+    """Inside one of higher priority, or of the same and longer: out. Overlapping, or containing a higher one: in."""
+    extra = [
+        Rule("long", "b", "a b c d", 5, 0.5), Rule("short", "b", "b c", 5, 0.5), Rule("high", "b", "a b", 9, 0.9),
+        Rule("low", "b", "b", 1, 0.1), Rule("apart", "e", "d e", 1, 0.1),
+    ]
+    out = scanned(spark, {1: "x a b c d e", 2: "b c", 3: "a b"}, extra)
+    assert out[1].labels == "apart,high,long"
+    assert out[2].labels == "short"
+    assert out[3].labels == "high"
+
+
+def test_there_are_hundreds_of_rules():
+    made = rules()
+    assert len(made) >= 300 and all(0 < r.confidence <= 1 for r in made)
+
+
+def test_base_equals_brute_force(spark):
+    docs = table(spark, MEDIUM, "documents")
+    got = license_scan.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
+    assert sorted(map(tuple, got)) == sorted((r.doc_id, *brute.license_places(r.text)) for r in docs.collect())
+
+
+def test_repeated_places(spark):
+    text = "All rights reserved. " * 3000
+    out = scanned(spark, {1: text})[1]
+    assert (out.n_base, out.first_word, out.last_word) == (3000, 0, 8997)

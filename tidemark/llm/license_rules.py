@@ -22,12 +22,12 @@ class Rule(NamedTuple):
 FAMILIES: tuple[tuple[str, str, str], ...] = (
     ("afl", "academic free license", "academic free"),
     ("agpl", "(?:gnu )?affero general public license", "affero"),
-    ("apache-1.1", "apache (?:software )?license (?:version |v )?1 1", "apache"),
-    ("apache-2.0", "apache (?:software )?license (?:version |v )?2(?: 0)?", "apache"),
+    ("apache-1.1", "apache (?:software )?license (?:version |v ?)?1 1", "apache"),
+    ("apache-2.0", "apache (?:software )?license (?:version |v ?)?2(?: 0)?", "apache"),
     ("apache", "apache (?:software )?license", "apache"),
-    ("artistic", "artistic license(?: (?:version |v )?[12](?: 0)?)?", "artistic"),
+    ("artistic", "artistic license(?: (?:version |v ?)?[12](?: 0)?)?", "artistic"),
     ("bsl", "business source license(?: 1 1)?", "business source"),
-    ("boost", "boost software license(?: (?:version |v )?1 0)?", "boost"),
+    ("boost", "boost software license(?: (?:version |v ?)?1 0)?", "boost"),
     ("bsd-2-clause", "(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd) license", "bsd"),
     ("bsd-3-clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd) license", "bsd"),
     ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd) license", "bsd"),
@@ -50,19 +50,19 @@ FAMILIES: tuple[tuple[str, str, str], ...] = (
     ("cddl", "common development and distribution license", "common development"),
     ("cecill", "cecill(?: [abc])? (?:free software )?license", "cecill"),
     ("cpl", "common public license", "common public"),
-    ("epl", "eclipse public license(?: (?:version |v )?[12](?: 0)?)?", "eclipse"),
+    ("epl", "eclipse public license(?: (?:version |v ?)?[12](?: 0)?)?", "eclipse"),
     ("eupl", "european union public licen[cs]e", "european union"),
     ("gfdl", "(?:gnu )?free documentation license", "free documentation"),
-    ("gpl-2.0", "(?:gnu )?general public license (?:version |v )2(?: 0)?", "general public license"),
-    ("gpl-3.0", "(?:gnu )?general public license (?:version |v )3(?: 0)?", "general public license"),
+    ("gpl-2.0", "(?:gnu )?general public license (?:version |v ?)2(?: 0)?", "general public license"),
+    ("gpl-3.0", "(?:gnu )?general public license (?:version |v ?)3(?: 0)?", "general public license"),
     ("gpl", "gnu general public license", "general public license"),
     ("isc", "isc license", "isc license"),
-    ("lgpl-2.1", "(?:gnu )?(?:lesser|library) general public license (?:version |v )2(?: 1)?", "general public license"),
-    ("lgpl-3.0", "(?:gnu )?(?:lesser|library) general public license (?:version |v )3(?: 0)?", "general public license"),
+    ("lgpl-2.1", "(?:gnu )?(?:lesser|library) general public license (?:version |v ?)2(?: 1)?", "general public license"),
+    ("lgpl-3.0", "(?:gnu )?(?:lesser|library) general public license (?:version |v ?)3(?: 0)?", "general public license"),
     ("lgpl", "(?:gnu )?(?:lesser|library) general public license", "general public license"),
     ("mit", "(?:mit|expat|x11) licen[cs]e", "licen"),
-    ("mpl-1.1", "mozilla public license (?:version |v )?1 1", "mozilla"),
-    ("mpl-2.0", "mozilla public license (?:version |v )?2(?: 0)?", "mozilla"),
+    ("mpl-1.1", "mozilla public license (?:version |v ?)?1 1", "mozilla"),
+    ("mpl-2.0", "mozilla public license (?:version |v ?)?2(?: 0)?", "mozilla"),
     ("mpl", "mozilla public license", "mozilla"),
     ("ms-pl", "microsoft public license", "microsoft"),
     ("odbl", "open (?:data commons open )?database license", "database license"),

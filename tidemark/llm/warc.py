@@ -41,6 +41,8 @@ LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LONGEST_HEADER = 1 << 20
+# Fields that every record must have.
+REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -195,8 +197,10 @@ def _parsed(record: bytes) -> tuple[dict[str, str], int, int]:
         if not colon:
             raise Damaged("bad header line")
         fields[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
-    if not re.fullmatch(r"[0-9]+", fields.get("content-length", "")):
-        raise Damaged("no length")
+    if missing := [name for name in REQUIRED if not fields.get(name)]:
+        raise Damaged(f"no {missing[0]}")
+    if not re.fullmatch(r"[0-9]+", fields["content-length"]):
+        raise Damaged("bad length")
     return fields, close + len(BREAK), int(fields["content-length"])
 
 
