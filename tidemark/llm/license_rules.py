@@ -16,6 +16,13 @@ class Rule(NamedTuple):
     #: Of overlapping detections the one of higher priority wins.
     priority: int
     confidence: float
+    #: What every text with a match has, in lower case and without a separator inside.
+    anchor: str = ""
+
+    def gate(self) -> str:
+        if self.anchor or "licen" in self.keyword:
+            return self.anchor or "licen"
+        return max(self.keyword.split(), key=len)
 
 
 # License families, the pattern of their names, and the keyword that gates them.
@@ -76,7 +83,7 @@ FAMILIES: tuple[tuple[str, str, str], ...] = (
     ("unlicense", "(?:the )?unlicense", "unlicense"),
     ("upl", "universal permissive license", "universal permissive"),
     ("vim", "vim license", "vim"),
-    ("wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "what the fuck"),
+    ("wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "the fuck you"),
     ("zlib", "zlib(?: libpng)? license", "zlib"),
     ("zpl", "zope public license", "zope"),
 )
@@ -128,7 +135,14 @@ BASE_RULES: tuple[Rule, ...] = (
 def rules() -> list[Rule]:
     """All rules; a family with a version goes before the one without."""
     made = [
-        Rule(label, keyword, phrasing.format(name), priority + any(c.isdigit() for c in label), confidence)
+        Rule(
+            label,
+            keyword,
+            phrasing.format(name),
+            priority + any(c.isdigit() for c in label),
+            confidence,
+            "licen" if "licen" in name and label != "wtfpl" else "",
+        )
         for phrasing, priority, confidence in PHRASINGS
         for label, name, keyword in FAMILIES
     ]

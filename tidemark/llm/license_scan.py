@@ -11,6 +11,8 @@ handled as they are; an empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,21 +30,19 @@ def words_line(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered, SEPARATORS, " ")), F.lit(" "))
 
 
-def gate(text: Column, keywords: list[str]) -> Column:
-    """Whether a text may have a keyword: it has the keyword's longest word, in any case.
+def gate(text: Column, table: list[Rule]) -> Column:
+    """Whether a text may have a match: it has the anchor of a rule, in any case.
 
     The words of "cc by" are in too many texts; they must follow each other.
     """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    longest = sorted({max(k.split(), key=len) for k in keywords if not k.startswith("cc by")})
-    return F.exists(F.array(*map(F.lit, longest)), lambda w: F.contains(lowered, w)) | lowered.rlike(
-        r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by"
-    )
+    anchors = sorted({rule.gate() for rule in table if not rule.keyword.startswith("cc by")})
+    pattern = "|".join([r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by", *(re.escape(a) for a in anchors)])
+    return F.lower(F.coalesce(text, F.lit(""))).rlike(pattern)
 
 
 def rule_table(spark: SparkSession, extra: list[Rule]) -> DataFrame:
     """All rules, the base ones marked; a constant of a few hundred rows."""
-    rows = [(*rule, True) for rule in BASE_RULES] + [(*rule, False) for rule in extra]
+    rows = [(*rule[:5], True) for rule in BASE_RULES] + [(*rule[:5], False) for rule in extra]
     numbered = [(number, *row) for number, row in enumerate(rows)]
     return spark.createDataFrame(
         numbered, "rule int, label string, keyword string, pattern string, priority int, confidence double, base boolean"
@@ -105,7 +105,7 @@ def scan(docs: DataFrame, extra: list[Rule] | None = None) -> DataFrame:
             F.col("doc_id").cast("long").alias("doc_id"),
             F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"),
             F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD_OF_ANY_CASE)).cast("long").alias("n_words"),
-            F.when(gate(text, keywords), words_line(text)).alias("line"),
+            F.when(gate(text, [*BASE_RULES, *extra]), words_line(text)).alias("line"),
         ),
         "looked",
     )
