@@ -100,6 +100,41 @@ ranked AS (
 ev AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1)
 """
 
+# Clicks with native ids and numbers as text, in the columns' order.
+NATIVE_TEXT = (*TEXT, "event_id", "category_id", "quantity", "amount")
+NATIVE_BRONZE = RAW + f""",
+native AS (
+  SELECT *, CASE WHEN s % 11 = 0 THEN '  ' WHEN s % 10 = 9 THEN 'e' || (s - 9) ELSE ' e' || s END AS event_id,
+    CASE WHEN s % 23 = 0 THEN '12.0' ELSE cast(s % 50 AS varchar) END AS category_id,
+    CASE WHEN s % 31 = 0 THEN 'x' ELSE (s % 4) || '.9' END AS quantity,
+    CASE WHEN s % 37 = 0 THEN '' ELSE (s % 9) || '.5' END AS amount
+  FROM (SELECT *, cast(user_session AS bigint) AS s FROM raw)),
+bronze AS (
+  SELECT * EXCLUDE (drop_no, s), TIMESTAMP '2024-02-01 00:00:00' + to_hours(drop_no) AS ingest_ts,
+         'drop-' || drop_no AS source_file, {EVENT_TS} AS event_ts, cast({EVENT_TS} AS date) AS event_date
+  FROM native),
+cleaned AS (SELECT {", ".join(_clean(c) for c in NATIVE_TEXT)}, ingest_ts, source_file, event_ts, event_date
+            FROM bronze),
+typed AS (
+  SELECT event_id AS native_id, event_time, event_type, {_whole("product_id")}, category_code, brand,
+         try_cast(price AS double) AS price, {_whole("user_id")}, user_session, {_whole("category_id")},
+         try_cast(nullif(regexp_extract(quantity, '^([0-9]+)[.]', 1), '') AS integer) AS quantity,
+         try_cast(amount AS double) AS amount, ingest_ts, source_file, event_ts, event_date
+  FROM cleaned),
+keyed AS (SELECT *, coalesce(native_id, {EVENT_ID}) AS event_id FROM typed)
+"""
+
+NATIVE_SILVER = NATIVE_BRONZE + """,
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY event_id
+    ORDER BY ingest_ts DESC NULLS LAST, source_file NULLS FIRST, event_time NULLS FIRST,
+             event_type NULLS FIRST, product_id NULLS FIRST, category_code NULLS FIRST,
+             brand NULLS FIRST, price NULLS FIRST, user_id NULLS FIRST, user_session NULLS FIRST) AS rn
+  FROM keyed),
+ev AS (SELECT * EXCLUDE (rn, native_id) FROM ranked WHERE rn = 1)
+"""
+
 PURCHASE = (
     "regexp_matches(lower(trim(coalesce(event_type, ''))), 'purchase|transaction|order|buy')"
 )
@@ -231,7 +266,8 @@ def all_sql() -> dict[str, str]:
     session_rows = "SELECT event_id, user_id, event_ts, session_id FROM sess"
     per_date = "SELECT event_date, count(*) AS row_count FROM bronze GROUP BY event_date"
     return {
-        "bronze_events": _with(BRONZE, f"SELECT {raw_list}, event_ts, event_date FROM bronze"),
+        "bronze_events": _with(BRONZE, f"SELECT {raw_list}, event_ts, event_date, TIMESTAMP '2024-02-01 05:00:00' AS ingest_ts,"
+            " replace(source_file, '-', '=') AS source_file FROM bronze"),
         "event_ts_parse": _with(
             BRONZE, "SELECT user_session, event_time, event_ts, event_date FROM bronze"
         ),
@@ -244,7 +280,26 @@ def all_sql() -> dict[str, str]:
         "dedupe_latest": _with(
             SILVER, "SELECT event_id, ingest_ts, source_file, user_session, price FROM ev"
         ),
-        "dedupe_any": _with(KEYED_SHOP, "SELECT DISTINCT event_id FROM ev"),
+        "dedupe_any": _with(TYPED, "SELECT DISTINCT event_id FROM keyed"),
+        "native_silver_events": _with(
+            NATIVE_SILVER,
+            "SELECT event_id, event_ts, event_date, event_type, user_id, product_id, category_id,"
+            " category_code, brand, price, ingest_ts, source_file, event_time, user_session, quantity,"
+            " amount FROM ev",
+        ),
+        "native_dim_product": _with(
+            NATIVE_SILVER,
+            PRODUCTS.replace("max(category_code)", "coalesce(max(category_code), max(cast(category_id AS varchar)))"),
+        ),
+        "native_event_revenue": _with(
+            NATIVE_SILVER,
+            f"SELECT event_id, quantity, round({_revenue('coalesce(quantity, 1.0)')}, 6) AS revenue FROM ev",
+        ),
+        "native_dq_event_id_null": _with(
+            NATIVE_BRONZE,
+            _check("event_id_not_null", "bronze", "count_if(event_id IS NULL)", "count(*)") + " FROM cleaned",
+        ),
+        "native_dq_event_id_dup": _with(NATIVE_BRONZE, _unique("bronze", "keyed")),
         "silver_events": _with(
             SILVER,
             "SELECT event_id, event_ts, event_date, event_type, user_id, product_id, category_code,"
@@ -271,6 +326,7 @@ def all_sql() -> dict[str, str]:
         "order_dim_product": _with(ORDERS, PRODUCTS),
         "sessionize": _with(KEYED_SHOP + _sessions(1800), session_rows),
         "sessionize_gap60": _with(KEYED_SHOP + _sessions(3600), session_rows),
+        "sessionize_gap0": _with(KEYED_SHOP + _sessions(1), session_rows),
         "fact_events": _with(KEYED_SHOP + _sessions(1800), FACTS),
         "fact_events_dirty": _with(dirty, FACTS),
         "session_summary": _with(KEYED_SHOP + _sessions(1800), SUMMARY),
@@ -305,13 +361,17 @@ def all_sql() -> dict[str, str]:
         "dq_results": _with(
             dirty,
             "\nUNION ALL ".join(
-                [DQ_ID_NULL, DQ_TS_NULL, DQ_TYPE, _unique("silver", "ev"), DQ_COUNTS, _foreign("sess", "ev")]
+                [_unique("bronze", "keyed"), DQ_ID_NULL, DQ_TS_NULL, DQ_TYPE, _unique("silver", "ev"), DQ_COUNTS, _foreign("sess", "ev")]
             ),
         ),
         "built_fact_events": _with(dirty, FACTS),
         "grown_fact_events": _with(dirty, FACTS),
+        "grown_old_file_events": _with(dirty, FACTS),
         "grown_session_summary": _with(dirty, SUMMARY),
         "grown_dim_customer": _with(SILVER, CUSTOMERS),
         "grown_dim_product": _with(SILVER, PRODUCTS),
         "exported_dim_customer": _with(SILVER, CUSTOMERS),
+        "exported_dim_product": _with(SILVER, PRODUCTS),
+        "exported_fact_events": _with(dirty, FACTS),
+        "exported_session_summary": _with(dirty, SUMMARY),
     }

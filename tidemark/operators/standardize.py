@@ -73,10 +73,14 @@ def standardize_types(df: DataFrame) -> DataFrame:
 
 
 def with_event_id(df: DataFrame) -> DataFrame:
-    """Keep a native ``event_id``; otherwise derive one from the key fields."""
+    """Keep a native ``event_id``; where there is none, derive one from the key fields.
+
+    The id has the type of the native column if that is text, as raw columns are.
+    """
+    derived = event_key(df.columns)
     if "event_id" in df.columns:
-        return df
-    return df.withColumn("event_id", event_key(df.columns))
+        derived = F.coalesce(F.col("event_id").cast("string"), derived)
+    return df.withColumn("event_id", derived)
 
 
 def stable_order(df: DataFrame) -> DataFrame:

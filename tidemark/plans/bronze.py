@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from tidemark.operators.ingest import stamp_ingestion
 from tidemark.plans.session import require_utc
 from tidemark.sources.files import path_exists
-from tidemark.sources.raw import read_raw_events
+from tidemark.sources.raw import read_header_groups, read_raw_events
 from tidemark.sources.tables import write_table
 from tidemark.streaming.ingest import SINK_LOG
 
@@ -25,13 +26,20 @@ def run_bronze(
     ingested_at: datetime | None = None,
     skip_corrupt: bool = False,
     gather: bool = True,
+    header_patterns: Sequence[str] | None = None,
+    widen: bool = False,
 ) -> int:
     """Ingest all matching files and return how many rows were written.
 
     ``gather=False`` writes without a shuffle; it suits files that are already in time order.
+    ``header_patterns`` name one group of files per header, which are read by column name. An append
+    of columns that the table lacks is refused unless ``widen`` is set.
     """
     require_utc(spark)
     if mode == "append" and path_exists(spark, f"{bronze_dir}/{SINK_LOG}"):
         raise ValueError(f"{bronze_dir} is filled by a stream, which would hide appended files")
-    raw = read_raw_events(spark, raw_dir, pattern, schema, skip_corrupt)
-    return write_table(stamp_ingestion(raw, ingested_at), bronze_dir, mode, gather)
+    if header_patterns:
+        raw = read_header_groups(spark, raw_dir, header_patterns, skip_corrupt)
+    else:
+        raw = read_raw_events(spark, raw_dir, pattern, schema, skip_corrupt)
+    return write_table(stamp_ingestion(raw, ingested_at), bronze_dir, mode, gather, widen)

@@ -25,8 +25,9 @@ def run_gold(
     gold_dir: str,
     session_gap_minutes: int = 30,
     skip_corrupt: bool = False,
+    mode: str = "overwrite",
 ) -> None:
-    """Rebuild the four gold tables from all of silver.
+    """Make the four gold tables from all of silver; ``append`` adds the rows to those that are there.
 
     Only the facts move whole events between tasks. The session index is staged because two
     tables are built from it; the dimensions read just the columns they aggregate.
@@ -37,7 +38,7 @@ def run_gold(
     cells = sessions.session_index(silver, gap_seconds)
 
     def write(name: str, rows: DataFrame) -> Callable[[], int]:
-        return lambda: write_table(rows, f"{gold_dir}/{name}")
+        return lambda: write_table(rows, f"{gold_dir}/{name}", mode)
 
     with staging_folder(spark, "session_index") as folder:
         index, *_ = together(

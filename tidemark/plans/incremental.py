@@ -78,7 +78,7 @@ def _copies(bronze: DataFrame, fresh: DataFrame) -> DataFrame:
     """All bronze rows that share an event id with fresh ones, in whatever date they are."""
     ids = keyed_events(fresh).select(F.col("event_id").alias("_id")).distinct()
     rows = keyed_events(bronze)
-    return rows.join(ids, rows["event_id"].eqNullSafe(ids["_id"]), "left_semi")
+    return rows.join(ids, rows["event_id"] == ids["_id"], "left_semi")
 
 
 def touched_dates(bronze: DataFrame, since: datetime | None) -> list[date | None]:
@@ -207,14 +207,20 @@ def run_incremental(
     pattern: str = "*.csv",
     session_gap_minutes: int = 30,
     schema: T.StructType | None = None,
+    files_per_batch: int | None = None,
+    skip_corrupt: bool = False,
 ) -> None:
-    """Ingest unseen files and refresh silver and gold; with nothing new, nothing is rewritten."""
+    """Ingest unseen files and refresh silver and gold; with nothing new, nothing is rewritten.
+
+    ``files_per_batch`` bounds what one step of the stream takes in, as for a first load of a large lake.
+    """
     require_utc(spark)
     last = done_through(spark, lake, "bronze")
     instant = now_utc() if last is None else max(now_utc(), last + timedelta(microseconds=1))
     declared = schema or _raw_schema(spark, raw_dir, lake, pattern)
     ingest_new_files(
-        spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, declared, instant
+        spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, declared, instant,
+        files_per_batch, skip_corrupt,
     )
     note_done(spark, lake, "bronze", instant)
     refresh_silver(spark, lake, instant)

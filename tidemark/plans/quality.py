@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.ingest import now_utc
+from tidemark.operators.standardize import clean_strings
+from tidemark.plans.silver import keyed_events
 from tidemark.sources.layout import Lake
 from tidemark.sources.tables import read_table
 
@@ -19,8 +21,13 @@ def quality_results(
     gold: dict[str, DataFrame],
     event_types: Sequence[str],
 ) -> DataFrame:
+    # Silver ids are made to be there and unique, so what arrived is checked too.
+    arrived = [quality.check_unique(keyed_events(bronze), "bronze")]
+    if "event_id" in bronze.columns:
+        arrived.append(quality.check_not_null(clean_strings(bronze), "bronze", ["event_id"]))
     return quality.all_checks(
         [
+            *arrived,
             quality.check_events(silver, "silver", event_types),
             quality.check_unique(silver, "silver"),
             quality.check_row_counts(

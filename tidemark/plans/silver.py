@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.changes import events_after
 from tidemark.operators.dedupe import dedupe_events
 from tidemark.operators.standardize import (
     clean_strings,
@@ -24,9 +27,18 @@ def silver_events(bronze: DataFrame) -> DataFrame:
 
 
 def run_silver(
-    spark: SparkSession, bronze_dir: str, silver_dir: str, skip_corrupt: bool = False
+    spark: SparkSession,
+    bronze_dir: str,
+    silver_dir: str,
+    skip_corrupt: bool = False,
+    mode: str = "overwrite",
+    after: datetime | None = None,
 ) -> int:
-    """Rebuild silver from all of bronze and return its row count."""
+    """Make silver from bronze and return how many rows were written.
+
+    ``append`` adds the rows to those that are there, without looking for copies among them. ``after`` takes
+    only events later than an instant, which suits feeds that arrive in order.
+    """
     require_utc(spark)
-    bronze = read_table(spark, bronze_dir, skip_corrupt=skip_corrupt)
-    return write_table(silver_events(bronze), silver_dir)
+    bronze = events_after(read_table(spark, bronze_dir, skip_corrupt=skip_corrupt), after)
+    return write_table(silver_events(bronze), silver_dir, mode)

@@ -18,6 +18,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
+def set_age(spark: SparkSession, path: str, days: int) -> None:
+    """Give the files of a folder a modification time some days before their own, as a restore does."""
+    files, location = _located(spark, path)
+    for status in files.listStatus(location):
+        files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Remove a folder, which need not be there yet, when the application ends."""
+    files, location = _located(spark, path)
+    there = files.exists(location)
+    files.mkdirs(location)
+    files.deleteOnExit(location)
+    if not there:
+        files.delete(location, True)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, location = _located(spark, path)
     files.delete(location, True)

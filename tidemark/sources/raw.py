@@ -65,13 +65,15 @@ def read_raw_events(
     return spark.read.schema(declared).options(**csv_options(pattern, skip_corrupt)).csv(raw_dir)
 
 
-def read_header_groups(spark: SparkSession, raw_dir: str, patterns: Sequence[str]) -> DataFrame:
+def read_header_groups(
+    spark: SparkSession, raw_dir: str, patterns: Sequence[str], skip_corrupt: bool = False
+) -> DataFrame:
     """Union of scans by column name, one pattern per group of files with the same header.
 
     A union hides the file a row came from, so ``source_file`` is read here.
     """
     groups = [
-        read_raw_events(spark, raw_dir, p).select("*", source_file().alias("source_file"))
+        read_raw_events(spark, raw_dir, p, skip_corrupt=skip_corrupt).select("*", source_file().alias("source_file"))
         for p in patterns
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)

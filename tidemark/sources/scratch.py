@@ -9,7 +9,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.sources.files import delete_folder
+from tidemark.sources.files import delete_at_end, delete_folder
 
 SHARED_DIR = "spark.checkpoint.dir"
 
@@ -22,12 +22,16 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tidemark-")
+    delete_at_end(spark, made)
     spark.sparkContext.setCheckpointDir(made)
     return made
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+    """A new folder in shared scratch, which is removed when the application ends, if not before."""
+    folder = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+    delete_at_end(spark, folder)
+    return folder
 
 
 def stored(df: DataFrame, folder: str) -> DataFrame:

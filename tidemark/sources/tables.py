@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.files import path_exists
+
 DATE_COLUMN = "event_date"
+# Beside the data files, in a folder that scans pass over: an empty table with the columns of this one.
+KEPT_SCHEMA = "_columns"
 _UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -19,7 +23,11 @@ def read_table(
     schema: T.StructType | None = None,
     skip_corrupt: bool = False,
 ) -> DataFrame:
-    """Scan a table; ``skip_corrupt`` silently leaves out files that cannot be read."""
+    """Scan a table by the columns kept with it, or else by those of its files.
+
+    ``skip_corrupt`` silently leaves out files that cannot be read.
+    """
+    schema = schema or kept_schema(spark, path)
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
     try:
         return (reader if schema is None else reader.schema(schema)).parquet(path)
@@ -29,6 +37,38 @@ def read_table(
         raise
 
 
+def kept_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns kept with a table, null if it was written by something else."""
+    kept = f"{path}/{KEPT_SCHEMA}"
+    return spark.read.parquet(kept).schema if path_exists(spark, kept) else None
+
+
+def _schema_of_files(spark: SparkSession, path: str) -> T.StructType | None:
+    try:
+        return spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{KEPT_SCHEMA}")
+
+
+def _columns_after(path: str, kept: T.StructType | None, new: T.StructType, widen: bool) -> T.StructType:
+    """The columns of a table that gets rows of other columns: refused, or widened if asked for."""
+    if kept is None:
+        return new
+    types = {f.name: f.dataType for f in kept.fields}
+    if changed := [f.name for f in new.fields if types.get(f.name, f.dataType) != f.dataType]:
+        raise ValueError(f"{path} holds other types in {changed}")
+    added = [f for f in new.fields if f.name not in types]
+    if added and not widen:
+        raise ValueError(f"{path} has no {[f.name for f in added]}; widen the table to add them")
+    return T.StructType([*kept.fields, *added])
+
+
 def by_date(df: DataFrame) -> DataFrame:
     """Gather rows of a date before a partitioned write.
 
@@ -38,16 +78,24 @@ def by_date(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", DATE_COLUMN)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", gather: bool = True) -> int:
+def write_table(
+    df: DataFrame, path: str, mode: str = "overwrite", gather: bool = True, widen: bool = False
+) -> int:
     """Write a table, partitioned by ``event_date`` if it has one, and return its row count.
 
-    Rows are counted in the writing tasks, which Spark counts once even if a task is run again.
+    The columns are kept with the table. Appended rows may lack some of them, but have others only with
+    ``widen``; earlier rows are null there. Rows are counted in the writing tasks, which Spark counts once even if a task is run again.
     """
+    spark, columns = df.sparkSession, df.schema
+    if mode == "append" and path_exists(spark, path):
+        kept = kept_schema(spark, path) or _schema_of_files(spark, path)
+        columns = _columns_after(path, kept, df.schema, widen)
     dated = DATE_COLUMN in df.columns
     written = Observation()
     rows = by_date(df) if dated and gather else df
     writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode)
     (writer.partitionBy(DATE_COLUMN) if dated else writer).parquet(path)
+    keep_schema(spark, path, columns)
     return written.get.get("rows", 0)
 
 
@@ -72,6 +120,7 @@ def replace_dates(df: DataFrame, path: str, dates: list[date | None]) -> None:
     nothing = df.drop(DATE_COLUMN).limit(0)
     for name in sorted(wanted - set(filled.get.get("names", []))):
         nothing.write.mode("overwrite").parquet(f"{path}/{DATE_COLUMN}={name}")
+    keep_schema(df.sparkSession, path, df.schema)
 
 
 def _partition_name(day: Column) -> Column:

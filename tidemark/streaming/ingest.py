@@ -11,9 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.ingest import now_utc, stamp_ingestion
 from tidemark.sources.files import path_exists
 from tidemark.sources.raw import csv_options, header_schema
-from tidemark.sources.tables import DATE_COLUMN, by_date
+from tidemark.sources.tables import DATE_COLUMN, by_date, keep_schema
 
 SINK_LOG = "_spark_metadata"
+# A file stream leaves out files much older than the newest one it has seen. No file is as old as this.
+NEVER_TOO_OLD = "36500d"
 
 
 def _check_sink(spark: SparkSession, bronze_dir: str, checkpoint_dir: str) -> None:
@@ -34,19 +36,22 @@ def ingest_new_files(
     schema: T.StructType | None = None,
     ingested_at: datetime | None = None,
     files_per_batch: int | None = None,
+    skip_corrupt: bool = False,
 ) -> StreamingQuery:
     """Append the rows of unseen raw files to bronze, each file exactly once, and wait for the end.
 
-    The stream's checkpoint is the list of ingested files. All rows of one run share ``ingest_ts``.
+    The stream's checkpoint is the list of ingested files, whatever their modification times. All rows of
+    one run share ``ingest_ts``.
     """
     _check_sink(spark, bronze_dir, checkpoint_dir)
     declared = schema or header_schema(spark, raw_dir, pattern)
-    options = csv_options(pattern)
+    options = {**csv_options(pattern, skip_corrupt), "maxFileAge": NEVER_TOO_OLD}
     if files_per_batch:
         options["maxFilesPerTrigger"] = str(files_per_batch)
     raw = spark.readStream.schema(declared).options(**options).csv(raw_dir)
+    stamped = stamp_ingestion(raw, ingested_at or now_utc())
     query = (
-        by_date(stamp_ingestion(raw, ingested_at or now_utc()))
+        by_date(stamped)
         .writeStream.format("parquet")
         .partitionBy(DATE_COLUMN)
         .option("path", bronze_dir)
@@ -55,4 +60,6 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    if path_exists(spark, bronze_dir):
+        keep_schema(spark, bronze_dir, stamped.schema)
     return query
