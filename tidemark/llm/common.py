@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that go to a Python worker at once, unless the session sets another number. Spark's default of ten thousand
+#: long texts, and what is made of them, would be most of a small executor's memory.
+BATCH_ROWS, BATCH_SETTING, SPARK_BATCH_ROWS = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(BATCH_SETTING) == SPARK_BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder in the shared scratch, removed when the application ends."""
     folder = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
@@ -33,6 +43,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to shared scratch and read again: a lost executor costs no more than a read."""
+    small_batches(df.sparkSession)
     folder = f"{scratch_folder(df.sparkSession, label)}/rows"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_row
+from tidemark.llm.common import as_row, small_batches
 
 MIN_MATCH = 4
 THRESHOLD = 0.5
@@ -197,6 +197,7 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[
 
 def _with_matches(docs: DataFrame, block: Block, threshold: float) -> DataFrame:
     """``doc`` (all columns as a struct) and ``found``, the items that reach ``threshold``."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf(FOUND)
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

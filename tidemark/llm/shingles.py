@@ -17,7 +17,7 @@ class WordHashes(dict):
     """64-bit hashes of words, each computed once; forgotten when there are many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = hashed = xxhash.xxh3_64_intdigest(word)
         return hashed

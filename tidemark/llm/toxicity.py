@@ -113,7 +113,7 @@ class Weights(dict):
         self.counts, self.less = counts, (less_toxic, less_clean)
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         found = max(self.counts.weight(form, *self.less) for form in forms(word))
         self[word] = found if found > 0 else 0.0
