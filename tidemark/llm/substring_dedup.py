@@ -1,8 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
 A text is cut into sentences. From every sentence a span runs over the following ones until it has at least
-``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words; a sentence of ``LONE_WORDS`` words is a span by itself. The spans
-are hashed to 128 bits over their words in lower case and joined globally. Of equal spans the first, by doc_id and then place in the text,
+``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words, and to every sentence one runs back over those before it; a sentence of
+``LONE_WORDS`` words is a span by itself too. Every longer run is covered by such spans inside it, so a repeated run of sentences
+goes from its first sentence to its last. The spans are hashed to 128 bits over their words in lower case and joined globally. Of equal spans the first, by doc_id and then place in the text,
 stays; all sentences that any other one covers are removed, and the rest of the text stays as it is.
 
 Only repeated hashes are joined back to their spans, and the first place of each is found by an aggregate that is
@@ -50,6 +51,8 @@ def spans_of(sentences: list[str]) -> Iterator[tuple[int, int, bytes]]:
     words = [s.lower().split() for s in sentences]
     sizes = [len(w) for w in words]
     joined = [" ".join(w).encode("utf-8", "surrogatepass") for w in words]
+    digest = lambda first, after: xxhash.xxh3_128_digest(b" ".join(joined[first:after]))
+    forward = [0] * len(sizes)
     total = after = 0
     for first, size in enumerate(sizes):
         if after < first:
@@ -58,10 +61,20 @@ def spans_of(sentences: list[str]) -> Iterator[tuple[int, int, bytes]]:
             total += sizes[after]
             after += 1
         if size >= LONE_WORDS:
-            yield first, first + 1, xxhash.xxh3_128_digest(joined[first])
-        elif total >= MIN_WORDS and after - first >= MIN_SENTENCES:
-            yield first, after, xxhash.xxh3_128_digest(b" ".join(joined[first:after]))
+            yield first, first + 1, digest(first, first + 1)
+        if total >= MIN_WORDS and after - first >= MIN_SENTENCES:
+            forward[first] = after
+            yield first, after, digest(first, after)
         total -= size
+    # The shortest span that ends with a sentence, unless it is the one that its first sentence has.
+    total = first = 0
+    for after, size in enumerate(sizes, 1):
+        total += size
+        while after - first > MIN_SENTENCES and total - sizes[first] >= MIN_WORDS:
+            total -= sizes[first]
+            first += 1
+        if total >= MIN_WORDS and after - first >= MIN_SENTENCES and forward[first] != after:
+            yield first, after, digest(first, after)
 
 
 def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
