@@ -1,8 +1,9 @@
 """Mixing to target weights by iterative proportional fitting; DataFrame functions only.
 
 Documents are counted into cells of (source, language, topic). The token mass of the cells is raked: in turn
-the mass of every source, every language and every topic is scaled to its target, for ``SWEEPS`` rounds; sources
-come last, so their marginal is exact. A cell's mass over its tokens is the weight that its tokens
+the mass of every topic, every language and every source is scaled to its target, for ``SWEEPS`` rounds and from there on
+until no marginal is off by more than ``TOLERANCE`` of its target; sources come last, so their marginal is exact. Targets that raking
+cannot reach, as where no cells can have both, are named in a warning. A cell's mass over its tokens is the weight that its tokens
 should have. A document is drawn with probability min(1, c * weight), where c makes the expected tokens of
 the sample ``fraction`` of all; ``mix_weight`` carries what a probability capped at 1 leaves over, so
 that the sample weighed by it keeps the targets.
@@ -17,14 +18,23 @@ added one is replaced by it.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE_CLASS, as_row, staged
 
+#: Sweeps before the marginals are looked at for the first time.
 SWEEPS = 12
 #: Sweeps in one query plan; what they give is written before the next ones start.
 SWEEPS_A_PLAN = 4
+#: The largest error of a marginal, as a share of its target.
+TOLERANCE = 1e-6
+#: Raking ends without reaching the targets if so many plans have taken less than this share off the largest error.
+STALLED_PLANS, STALLED_SHARE = 10, 0.01
+#: Marginals that the warning names.
+NAMED = 10
 #: Cells are broadcast to the documents up to this size; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 MARGINS = ("topic", "lang", "source")
@@ -102,17 +112,40 @@ def with_targets(cells: DataFrame, targets: dict[str, Target], total: int) -> Da
     )
 
 
+def marginals(cells: DataFrame) -> DataFrame:
+    """margin, value, mass, target, and error as a share of the target, of every value that has one."""
+    sums = None
+    for margin in MARGINS:
+        one = cells.groupBy(F.lit(margin).alias("margin"), F.col(margin).alias("value")).agg(
+            F.sum("mass").alias("mass"), F.max(f"{margin}_target").alias("target")
+        )
+        sums = one if sums is None else sums.unionByName(one)
+    return sums.filter("target > 0").withColumn("error", F.abs(F.col("mass") / F.col("target") - 1))
+
+
 def rake(cells: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
-    """``mass`` scaled to the targets of topic, language and source in turn."""
-    for sweep in range(sweeps):
-        for margin in MARGINS:
-            now = F.sum("mass").over(Window.partitionBy(margin))
-            cells = cells.withColumn(
-                "mass", F.coalesce(F.try_divide(F.col("mass") * F.col(f"{margin}_target"), now), F.lit(0.0))
-            )
-        if (sweep + 1) % SWEEPS_A_PLAN == 0 or sweep == sweeps - 1:
-            cells = staged(cells, "raked")
-    return cells
+    """``mass`` scaled to the targets of topic, language and source in turn, until they are reached."""
+    errors: list[float] = []
+    done = 0
+    while True:
+        for _ in range(SWEEPS_A_PLAN):
+            for margin in MARGINS:
+                now = F.sum("mass").over(Window.partitionBy(margin))
+                cells = cells.withColumn(
+                    "mass", F.coalesce(F.try_divide(F.col("mass") * F.col(f"{margin}_target"), now), F.lit(0.0))
+                )
+        cells = staged(cells, "raked")
+        done += SWEEPS_A_PLAN
+        if done < sweeps:
+            continue
+        errors.append(marginals(cells).agg(F.max("error")).first()[0] or 0.0)
+        if errors[-1] <= TOLERANCE:
+            return cells
+        if len(errors) > STALLED_PLANS and errors[-1] > (1 - STALLED_SHARE) * errors[-1 - STALLED_PLANS]:
+            off = marginals(cells).filter(F.col("error") > TOLERANCE).orderBy(F.desc("error"), "margin", "value").limit(NAMED)
+            named = "; ".join(f"{r.margin} {r.value!r}: {r.mass:.6g} for {r.target:.6g}" for r in off.collect())
+            warnings.warn(f"mixing targets not reached after {done} sweeps, infeasible or nearly so: {named}", stacklevel=2)
+            return cells
 
 
 def _rate(cells: DataFrame, budget: float) -> float:
