@@ -39,7 +39,7 @@ FAMILIES: tuple[tuple[str, str, str], ...] = (
     ("bsd-3-clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd) license", "bsd"),
     ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd) license", "bsd"),
     ("bsd", "bsd (?:style )?license", "bsd"),
-    ("cc0", "(?:cc0|creative commons zero)(?: 1 0)?(?: universal)?", "cc0"),
+    ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0"),
     ("cc0", "creative commons zero(?: 1 0)?(?: universal)?", "commons zero"),
     ("cc-by-nc-nd", "cc by nc nd(?: [1-4] [05])?", "cc by nc nd"),
     ("cc-by-nc-sa", "cc by nc sa(?: [1-4] [05])?", "cc by nc sa"),
@@ -83,7 +83,8 @@ FAMILIES: tuple[tuple[str, str, str], ...] = (
     ("unlicense", "(?:the )?unlicense", "unlicense"),
     ("upl", "universal permissive license", "universal permissive"),
     ("vim", "vim license", "vim"),
-    ("wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "the fuck you"),
+    ("wtfpl", "wtfpl", "wtfpl"),
+    ("wtfpl", "do what the fuck you want to public license", "the fuck you"),
     ("zlib", "zlib(?: libpng)? license", "zlib"),
     ("zpl", "zope public license", "zope"),
 )
@@ -141,7 +142,7 @@ def rules() -> list[Rule]:
             phrasing.format(name),
             priority + any(c.isdigit() for c in label),
             confidence,
-            "licen" if "licen" in name and label != "wtfpl" else "",
+            "licen" if "licen" in name else "",
         )
         for phrasing, priority, confidence in PHRASINGS
         for label, name, keyword in FAMILIES
