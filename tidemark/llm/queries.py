@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, exact_dedup, license_scan, line_dedup, mixing, ngram_join, substring_dedup, toxicity, warc
+from tidemark.llm import (
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from tidemark.llm.common import table
 
 
@@ -78,6 +91,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+#: The vocabulary of the packed ids, and the id that ends a document.
+PACK_VOCABULARY, PACK_END = "word_bpe_49k.json", 2
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_VOCABULARY), PACK_END)
+    return pieces.drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -89,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_license_scan": op10_license_scan,
+    "op12_packing": op12_packing,
 }
