@@ -1,0 +1,124 @@
+"""Collocations against plain counting, with samples that propose too little and blocks that are cut anywhere."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tests.llm import odd
+from tidemark.llm import collocations
+from tidemark.llm.common import LOWER, UPPER
+
+LOWERED = str.maketrans(UPPER, LOWER)
+
+
+def brute(rows, least, top=2000, longest=4):
+    """(lang, rank, phrase, a, l, r, n, score) of every ranked phrase, for rows of text and language."""
+    f, n = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWERED)):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for size in range(1, longest + 1):
+                for i in range(len(words) - size + 1):
+                    f[lang, tuple(words[i : i + size])] += 1
+    out = []
+    frequent = {key: a for key, a in f.items() if a >= least and len(key[1]) > 1}
+    longer = Counter()
+    for (lang, p), a in frequent.items():
+        for size in range(2, len(p)):
+            for i in range(len(p) - size + 1):
+                longer[lang, p[i : i + size]] = max(longer[lang, p[i : i + size]], a)
+    for (lang, p), a in frequent.items():
+        if 100 * longer[lang, p] >= 80 * a:
+            continue
+        score, _, left, right = min(
+            (2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p))
+        )
+        out.append((lang, -score, -a, " ".join(p).encode(), left, right))
+    ranked, places = [], Counter()
+    for lang, score, a, phrase, left, right in sorted(out):
+        places[lang] += 1
+        if places[lang] <= top:
+            ranked.append((lang, places[lang], phrase.decode(), -a, left, right, n[lang], -score))
+    return ranked
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
+
+
+def table_of(spark, rows):
+    return spark.createDataFrame([(i, *row, "x") for i, row in enumerate(rows)], "doc_id long, text string, lang string, key string")
+
+
+def sentences(seed, n):
+    r = random.Random(seed)
+    common = ["Of the", "as well as", "in The middle of", "on \t the other hand", "x"]
+    out = []
+    for _ in range(n):
+        words = [r.choice(common) if r.random() < 0.5 else f"w{r.randrange(60)}" for _ in range(r.randrange(1, 40))]
+        out.append(" ".join(w + r.choice(["", "", "", ".", ",  ", "!?", "\n", "\r\n"]) for w in words))
+    return out
+
+
+@pytest.mark.parametrize("share", [1, 3, 10_000_000])
+def test_whatever_the_sample_proposes(spark, share):
+    rows = [(text, [None, "en", "de"][i % 3]) for i, text in enumerate(sentences(1, 300))]
+    want = brute(rows, 5)
+    assert len(want) > 100
+    assert got(collocations.collocations(table_of(spark, rows), least=5, share=share)) == sorted(want)
+
+
+def test_blocks_cut_anywhere(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", 7)
+    monkeypatch.setattr(collocations, "SEGMENT", 11)
+    rows = [(text, "en") for text in sentences(2, 40)]
+    texts = [{"text": t, "lang": "en"} for t, _ in rows]
+    import pyarrow as pa
+
+    places = []
+    for block in collocations._blocks([pa.RecordBatch.from_pylist(texts)]):
+        for length, (_, inside) in enumerate(collocations._keys(block), 1):
+            for i in range(len(inside)):
+                if inside[i] and i + length > block.seen:
+                    places.append(b" ".join(block.words[i : i + length]).decode())
+    words = Counter()
+    for text, _ in rows:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text.translate(LOWERED)):
+            w = re.findall("[^\x20\x09]+", piece)
+            words.update(" ".join(w[i : i + n]) for n in range(1, 5) for i in range(len(w) - n + 1))
+    assert Counter(places) == words
+
+
+def test_sums_are_handed_on(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "HELD_PHRASES", 3)
+    sums, found = collocations._Sums(), Counter()
+    import numpy as np
+
+    for part in ([1, 2], [2, 2], [5], [1, 1, 1, 1]):
+        for batch in sums.add(np.array(part, dtype=np.uint64)):
+            found.update({k: n for k, n in zip(*[c.to_pylist() for c in batch.columns], strict=True) for _ in range(1)})
+    for batch in sums.rows():
+        assert isinstance(batch, pa.RecordBatch)
+        found.update(dict(zip(*[c.to_pylist() for c in batch.columns], strict=True)))
+    assert found == {1: 5, 2: 3, 5: 1}
+
+
+def test_top_and_ties(spark):
+    rows = [("b a. d c. f e. a b c", None)] * 9 + [("z y", "und")] * 9 + [("q r s t u v", "")] * 40
+    assert got(collocations.collocations(table_of(spark, rows), least=5, top=2)) == sorted(brute(rows, 5, 2))
+
+
+def test_odd_input(spark):
+    rows = [(row[1], row[2]) for row in odd.ROWS]
+    docs = odd.documents(spark)
+    assert got(collocations.collocations(docs, least=3)) == sorted(brute(rows, 3))
+    assert collocations.collocations(odd.no_documents(spark)).collect() == []
+    assert collocations.collocations(table_of(spark, [(None, None), ("", "en")])).collect() == []

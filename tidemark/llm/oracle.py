@@ -64,8 +64,82 @@ WITH hashed AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
 """
 
+OP11_COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang
+), places AS (
+    SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM split, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size
+), counted AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+    FROM places GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE size >= 2
+), cuts AS (
+    SELECT lang, phrase, size, a, w, unnest(range(1, size)) AS k FROM candidates
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+    FROM cuts c
+    JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+    JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+), weakest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), starts AS (
+    SELECT lang, a, size, w, part, unnest(range(1, size - part + 2)) AS i
+    FROM candidates, (SELECT unnest([2, 3]) AS part) WHERE size > part
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS longer FROM starts GROUP BY ALL
+), kept AS (
+    SELECT w.* FROM weakest w LEFT JOIN inside i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * w.a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13_LEXICAL_SEARCH = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), counted AS (
+    SELECT doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL
+), lengths AS (
+    SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY doc_id
+), totals AS (
+    SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths
+), norms AS (
+    SELECT doc_id, 75 + (25::HUGEINT * n * docs) // terms AS m FROM lengths, totals
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counted, totals GROUP BY term, docs
+), asked AS (
+    SELECT item_id, term, count(*)::BIGINT AS query_tf
+    FROM (SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), scores AS (
+    SELECT item_id, doc_id, sum(query_tf * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN norms USING (doc_id) GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 SQL: dict[str, str] = {
     "op4_chat_format": OP4_CHAT_FORMAT,
     "op7_warc": OP7_WARC,
     "op9_exact_dedup": OP9_EXACT_DEDUP,
+    "op11_collocations": OP11_COLLOCATIONS,
+    "op13_lexical_search": OP13_LEXICAL_SEARCH,
 }

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_format,
+    collocations,
     decontaminate,
     exact_dedup,
+    lexical_search,
     license_scan,
     line_dedup,
     mixing,
@@ -91,6 +93,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 #: The vocabulary of the packed ids, and the id that ends a document.
 PACK_VOCABULARY, PACK_END = "word_bpe_49k.json", 2
 
@@ -100,6 +106,10 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("ids")
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -111,5 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_collocations": op11_collocations,
     "op12_packing": op12_packing,
+    "op13_lexical_search": op13_lexical_search,
 }
