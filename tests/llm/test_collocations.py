@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import odd
@@ -74,39 +76,35 @@ def test_whatever_the_sample_proposes(spark, share):
     assert got(collocations.collocations(table_of(spark, rows), least=5, share=share)) == sorted(want)
 
 
-def test_blocks_cut_anywhere(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "BLOCK_WORDS", 7)
-    monkeypatch.setattr(collocations, "SEGMENT", 11)
-    rows = [(text, "en") for text in sentences(2, 40)]
-    texts = [{"text": t, "lang": "en"} for t, _ in rows]
-    import pyarrow as pa
-
-    places = []
-    for block in collocations._blocks([pa.RecordBatch.from_pylist(texts)]):
+@pytest.mark.parametrize("size", [1, 7, 40, 5000])
+def test_blocks_cut_anywhere(size, monkeypatch):
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", size)
+    texts = [*sentences(2, 40), None, "", "  . ", "x" * 50 + " y" * 9]
+    batch = pa.RecordBatch.from_pylist([{"text": t, "lang": "de" if i % 3 else "en"} for i, t in enumerate(texts)])
+    places, counted = Counter(), Counter()
+    for block in collocations._blocks([batch]):
         for length, (_, inside) in enumerate(collocations._keys(block), 1):
             for i in range(len(inside)):
                 if inside[i] and i + length > block.seen:
-                    places.append(b" ".join(block.words[i : i + length]).decode())
-    words = Counter()
-    for text, _ in rows:
-        for piece in re.split("[.,;:!?\x0a-\x0d]", text.translate(LOWERED)):
+                    places[block.names[block.langs[i]], block.phrase(i, length)] += 1
+        counted.update(block.names[n] for n in block.langs[block.seen :])
+    phrases, words = Counter(), Counter()
+    for i, text in enumerate(texts):
+        lang = "de" if i % 3 else "en"
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWERED)):
             w = re.findall("[^\x20\x09]+", piece)
-            words.update(" ".join(w[i : i + n]) for n in range(1, 5) for i in range(len(w) - n + 1))
-    assert Counter(places) == words
+            words[lang] += len(w)
+            phrases.update((lang, " ".join(w[i : i + n])) for n in range(1, 5) for i in range(len(w) - n + 1))
+    assert places == phrases and counted == words
 
 
-def test_sums_are_handed_on(spark, monkeypatch):
-    import pyarrow as pa
-
+def test_sums_are_handed_on(monkeypatch):
     monkeypatch.setattr(collocations, "HELD_PHRASES", 3)
     sums, found = collocations._Sums(), Counter()
-    import numpy as np
-
     for part in ([1, 2], [2, 2], [5], [1, 1, 1, 1]):
         for batch in sums.add(np.array(part, dtype=np.uint64)):
-            found.update({k: n for k, n in zip(*[c.to_pylist() for c in batch.columns], strict=True) for _ in range(1)})
+            found.update(dict(zip(*[c.to_pylist() for c in batch.columns], strict=True)))
     for batch in sums.rows():
-        assert isinstance(batch, pa.RecordBatch)
         found.update(dict(zip(*[c.to_pylist() for c in batch.columns], strict=True)))
     assert found == {1: 5, 2: 3, 5: 1}
 

@@ -11,7 +11,7 @@ part that was counted and not proposed, so nothing is missed, whatever the sampl
 Proposals are marked in a bitmap of at most ``MAX_BITS`` bits, which is broadcast. A phrase that shares a mark is
 counted without need, which costs time only; a full bitmap lets everything be counted. Phrases go through the shuffle as
 61 bits of a hash and a length, added up in each task first, so the commonest phrase is a row per task. The words of the
-frequent ones are looked up in a last pass.
+frequent ones are looked up in the sample, and those of the few that it does not have in a last pass.
 
 Rules for odd input: a null language is ``und``; a null or empty text has no words; a text is split
 whole, in blocks; rows that repeat count as often as they come; an empty table gives an empty result; of other columns only
@@ -30,8 +30,9 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bytewords import bytes_among, hashed_words
 from tidemark.llm.common import small_batches, staged
-from tidemark.llm.shingles import _MULTIPLIER, WordHashes, _mixed
+from tidemark.llm.shingles import _MULTIPLIER, _mixed
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: One document in so many is sampled, and a phrase proposed if the sample has it so often.
@@ -45,8 +46,8 @@ BITS_PER_PHRASE, MAX_BITS, BITMAP_BITS = 32, 1 << 27, 32768
 
 #: Phrases that a task adds up before it hands them on.
 HELD_PHRASES = 4_000_000
-#: Words that are looked at together, bytes of a text that are split at once, and phrases a task remembers as named.
-BLOCK_WORDS, SEGMENT, NAMED = 200_000, 1 << 20, 500_000
+#: Bytes that are looked at together, and phrases a task remembers as named.
+BLOCK_BYTES, NAMED = 1 << 20, 500_000
 
 # Marks that end a piece, and what separates words.
 PIECE_MARKS, WORD_SPACES = ".,;:!?\n\x0b\x0c\r", " \t"
@@ -57,85 +58,98 @@ _TABLE = bytes(
     END[0] if chr(b) in PIECE_MARKS else ord(" ") if chr(b) in WORD_SPACES else b + 32 if 65 <= b <= 90 else b
     for b in range(256)
 )
+_SEPARATING = bytes_among(b" " + END)
 #: The low bits of a key are the number of words, none for the words of a whole language.
 LENGTH_BITS = 3
 _LENGTH_MASK = np.uint64((1 << LENGTH_BITS) - 1)
 _COUNTED = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 
 
-class PieceHashes(WordHashes):
-    """64-bit hashes of words; 0 for the end of a piece, and for it only."""
-
-    def __missing__(self, word: bytes) -> int:
-        hashed = super().__missing__(word) or 1
-        self[word] = hashed = 0 if word == END else hashed
-        return hashed
-
-
-def _segments(text: str | None) -> Iterator[list[bytes]]:
-    """The words of a text and the ends of its pieces, split bit by bit."""
-    data = (text or "").encode("utf-8", "replace").translate(_TABLE)
-    start = 0
-    while start < len(data):
-        stop = data.find(b" ", start + SEGMENT) if len(data) - start > SEGMENT else -1
-        stop = len(data) if stop < 0 else stop
-        yield data[start:stop].replace(END, b" " + END + b" ").split()
-        start = stop
-
-
 class Block(NamedTuple):
-    words: list[bytes]
-    hashes: np.ndarray  # 0 ends a piece
-    langs: np.ndarray  # of each word, its number among ``names``
+    """Words that are looked at together."""
+
+    data: bytes
+    starts: np.ndarray
+    stops: np.ndarray
+    hashes: np.ndarray
+    #: The piece that a word is in, and its language's number among ``names``.
+    pieces: np.ndarray
+    langs: np.ndarray
     names: list[str]
-    seen: int  # so many words at the start were in the block before
+    #: So many words at the start were in the block before.
+    seen: int
+
+    def phrase(self, first: int, length: int) -> str:
+        words = (self.data[self.starts[i] : self.stops[i]] for i in range(first, first + length))
+        return b" ".join(words).decode("utf-8", "replace")
+
+
+def _block(parts: list[bytes], langs: list[int], names: list[str], seen: int) -> Block:
+    data = END.join(parts)
+    starts, stops, hashes = hashed_words(data, _SEPARATING)
+    marks = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == END[0])
+    sizes = np.array([len(part) + 1 for part in parts])
+    part = np.searchsorted(np.cumsum(sizes), starts, "right")
+    return Block(
+        data, starts, stops, hashes, np.searchsorted(marks, starts), np.array(langs, dtype=np.int64)[part], list(names), seen
+    )
+
+
+def _last_words(data: bytes, start: int, stop: int, n: int) -> tuple[int, int]:
+    """Where the last ``n`` words before ``stop`` begin, and how many there are."""
+    found = 0
+    while found < n:
+        end = stop
+        while end > start and data[end - 1 : end] in (b" ", END):
+            end -= 1
+        if end == start:
+            break
+        stop = max(data.rfind(b" ", start, end), data.rfind(END, start, end), start - 1) + 1
+        found += 1
+    return stop, found
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-    hashes = PieceHashes()
-    words: list[bytes] = []
+    parts: list[bytes] = []
     langs: list[int] = []
-    lengths: list[int] = []
     names: dict[str, int] = {}
-    seen = 0
-
-    def block() -> Block:
-        found = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        return Block(words, found, np.repeat(np.array(langs, dtype=np.int64), lengths), list(names), seen)
-
+    size = seen = 0
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             number = names.setdefault(lang, len(names))
-            for part in _segments(text):
-                words += part
+            data = (text or "").encode("utf-8", "replace").translate(_TABLE)
+            start = cut = 0
+            while True:
+                # A text that is too long goes on in the next block, with the words that begin phrases across the cut.
+                full = max(start + BLOCK_BYTES - size, cut + 1)
+                cut = data.find(b" ", full) if len(data) > full else -1
+                parts.append(data[start : cut if cut >= 0 else len(data)])
                 langs.append(number)
-                lengths.append(len(part))
-                if len(words) >= BLOCK_WORDS:
-                    yield block()
-                    # The last words begin phrases that go on, unless a piece ends among them.
-                    words = words[-(LONGEST - 1) :]
-                    langs, lengths, seen = [number], [len(words)], len(words)
-            words.append(END)
-            langs.append(number)
-            lengths.append(1)
-    if words:
-        yield block()
+                size += len(parts[-1]) + 1
+                if cut < 0:
+                    break
+                yield _block(parts, langs, list(names), seen)
+                start, seen = _last_words(data, start, cut, LONGEST - 1)
+                parts, langs, size = [], [], 0
+            if size >= BLOCK_BYTES:
+                yield _block(parts, langs, list(names), seen)
+                parts, langs, size, seen = [], [], 0, 0
+    if parts:
+        yield _block(parts, langs, list(names), seen)
 
 
 def _keys(block: Block) -> list[tuple[np.ndarray, np.ndarray]]:
     """By number of words, from 1: a key for each place, and whether a phrase begins there."""
-    h = block.hashes
+    h, piece = block.hashes, block.pieces
     seeds = np.array([xxhash.xxh3_64_intdigest(name, seed=1) for name in block.names], dtype=np.uint64)
-    n, out = len(h), []
+    out = []
     with np.errstate(over="ignore"):
         key = _mixed(h + seeds[block.langs])
-        inside = h != 0
         for length in range(1, LONGEST + 1):
+            size = max(0, len(h) - length + 1)
             if length > 1:
-                size = max(0, n - length + 1)
                 key = _mixed(key[:size] * _MULTIPLIER + h[length - 1 :][:size])
-                inside = inside[:size] & (h[length - 1 :][:size] != 0)
-            out.append(((key & ~_LENGTH_MASK) | np.uint64(length), inside))
+            out.append(((key & ~_LENGTH_MASK) | np.uint64(length), piece[:size] == piece[length - 1 :][:size]))
     return out
 
 
@@ -154,11 +168,21 @@ def _marked(keys: np.ndarray, marks: np.ndarray) -> np.ndarray:
 
 
 def _between(keys: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray) -> list[np.ndarray]:
-    """By number of words: where the two parts of a phrase, without its last and without its first word, are marked."""
-    out = [keys[0][1]]
-    for shorter, (key, inside) in zip(keys, keys[1:], strict=False):
-        marked = _marked(shorter[0], marks)
-        out.append(inside & marked[: len(key)] & marked[1 : len(key) + 1])
+    """By number of words: where both parts of a phrase, without its last and without its first word, are marked."""
+    out = [np.flatnonzero(keys[0][1])]
+    for (shorter, _), (key, inside) in zip(keys, keys[1:], strict=False):
+        marked = _marked(shorter, marks)
+        out.append(np.flatnonzero(inside & marked[: len(key)] & marked[1 : len(key) + 1]))
+    return out
+
+
+def _newly_between(keys: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray, fresh: np.ndarray) -> list[np.ndarray]:
+    """Of these, where a part is among the ``fresh`` marks, which are few; no single words."""
+    out = [np.empty(0, dtype=np.int64)]
+    for (shorter, _), (key, inside) in zip(keys, keys[1:], strict=False):
+        hit = _marked(shorter, fresh)
+        at = np.flatnonzero(inside & (hit[: len(key)] | hit[1 : len(key) + 1]))
+        out.append(at[_marked(shorter[at], marks) & _marked(shorter[at + 1], marks)])
     return out
 
 
@@ -193,18 +217,20 @@ def _counted(texts: DataFrame, proposed: Broadcast | None, before: Broadcast | N
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, languages = _Sums(), {}
+        fresh = None if before is None else proposed.value & ~before.value
         for block in _blocks(batches):
             keys = _keys(block)
-            places = [inside for _, inside in keys] if proposed is None else _between(keys, proposed.value)
-            if before is not None:
-                places = [now & ~then for now, then in zip(places, _between(keys, before.value), strict=True)]
+            if proposed is None:
+                places = [np.flatnonzero(inside) for _, inside in keys]
+            elif before is None:
+                places = _between(keys, proposed.value)
+            else:
+                places = _newly_between(keys, proposed.value, fresh)
             for length, ((key, _), here) in enumerate(zip(keys, places, strict=True), 1):
                 # What lies within the words of the block before was counted there.
-                here[: max(0, block.seen - length + 1)] = False
-                yield from sums.add(key[here])
+                yield from sums.add(key[here[here > block.seen - length]])
             if before is None:
-                fresh = (block.hashes != 0)[block.seen :]
-                n = np.bincount(block.langs[block.seen :][fresh], minlength=len(block.names))
+                n = np.bincount(block.langs[block.seen :], minlength=len(block.names))
                 for name, words in zip(block.names, n.tolist(), strict=True):
                     languages[name] = languages.get(name, 0) + words
         yield from sums.rows()
@@ -270,60 +296,59 @@ def frequent(texts: DataFrame, sample: DataFrame, least: int) -> DataFrame:
         before, now = now, sc.broadcast(marks)
 
 
-_NAMED = pa.schema(
-    [
-        ("key", pa.int64()),
-        ("lang_key", pa.int64()),
-        ("lang", pa.string()),
-        ("phrase", pa.string()),
-        ("firsts", pa.list_(pa.int64())),
-        ("rests", pa.list_(pa.int64())),
-        ("inner", pa.list_(pa.int64())),
-    ]
-)
+_NAMED_SQL = "key long, lang_key long, lang string, phrase string, firsts array<long>, rests array<long>, inner array<long>"
+
+
+def _lists(columns: list[np.ndarray], rows: int) -> pa.ListArray:
+    """A list per row of what the columns have there."""
+    values = np.stack(columns, axis=1).ravel() if columns else np.empty(0, dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * len(columns)), pa.array(values))
+
+
+def _named_batch(block: Block, signed: list[np.ndarray], length: int, at: np.ndarray) -> pa.RecordBatch:
+    langs, lang_keys = block.names, np.array([language_key(name) for name in block.names])
+    lang = block.langs[at]
+    columns = {
+        "key": pa.array(signed[length - 1][at]),
+        "lang_key": pa.array(lang_keys[lang]),
+        "lang": pa.array([langs[i] for i in lang.tolist()], pa.string()),
+        "phrase": pa.array([block.phrase(i, length) for i in at.tolist()], pa.string()),
+        "firsts": _lists([signed[n - 1][at] for n in range(1, length)], len(at)),
+        "rests": _lists([signed[length - n - 1][at + n] for n in range(1, length)], len(at)),
+        "inner": _lists([signed[n - 1][at + i] for n in range(2, length) for i in range(length - n + 1)], len(at)),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _named(texts: DataFrame, marks: Broadcast) -> DataFrame:
     """The words of marked phrases of two and more words, with the keys of their cuts and of the phrases inside."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
+        known = np.empty(0, dtype=np.uint64)
         for block in _blocks(batches):
             keys = _keys(block)
             signed = [key.view(np.int64) for key, _ in keys]
-            rows = []
             for length in range(2, LONGEST + 1):
                 key, inside = keys[length - 1]
                 places = np.flatnonzero(inside)
                 places = places[_marked(key[places], marks.value)]
-                _, firsts = np.unique(key[places], return_index=True)
-                for i in places[firsts].tolist():
-                    if (found := int(signed[length - 1][i])) in known:
-                        continue
-                    known.add(found)
-                    lang = block.names[block.langs[i]]
-                    part = lambda start, n, i=i: int(signed[n - 1][i + start])
-                    rows.append(
-                        (
-                            found,
-                            language_key(lang),
-                            lang,
-                            b" ".join(block.words[i : i + length]).decode("utf-8", "replace"),
-                            [part(0, n) for n in range(1, length)],
-                            [part(n, length - n) for n in range(1, length)],
-                            [part(start, n) for n in range(2, length) for start in range(length - n + 1)],
-                        )
-                    )
-            if len(known) > NAMED:
-                known = set()
-            for at in range(0, len(rows), 10_000):
-                columns = zip(*rows[at : at + 10_000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(columns, _NAMED, strict=True)], schema=_NAMED
-                )
-
-    schema = "key long, lang_key long, lang string, phrase string, firsts array<long>, rests array<long>, inner array<long>"
-    return texts.mapInArrow(name, schema).dropDuplicates(["key"])
+                found, firsts = np.unique(key[places], return_index=True)
+                fresh = ~np.isin(found, known, assume_unique=True)
+                if fresh.any():
+                    known = found if len(known) > NAMED else np.concatenate([known, found[fresh]])
+                    yield _named_batch(block, signed, length, places[firsts[fresh]])
+
+    return texts.mapInArrow(name, _NAMED_SQL).dropDuplicates(["key"])
+
+
+def named(texts: DataFrame, sample: DataFrame, phrases: DataFrame) -> DataFrame:
+    """Frequent phrases with their words. Most are found in the sample already; all documents are asked for the others only."""
+    sc = texts.sparkSession.sparkContext
+    marks = sc.broadcast(_mark(phrases, _bits(phrases.count())))
+    early = staged(_named(sample, marks).join(phrases, "key"), "early")
+    rest = staged(phrases.join(early, "key", "left_anti"), "unnamed")
+    marks = sc.broadcast(_mark(rest, _bits(rest.count())))
+    return early.unionByName(staged(_named(texts, marks).join(rest, "key"), "late"))
 
 
 def _exact(name: str) -> Column:
@@ -337,8 +362,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int
     occurrences of the phrase, ``l`` and ``r`` those of the parts, and the score is 2,000,000 a / (l + r), rounded down.
     A phrase inside a longer frequent one that is at least 80 hundredths as frequent is left out.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(docs.sparkSession)
     text, lang = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("lang"), F.lit(NO_LANGUAGE))
     told_apart = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
     drawn = F.pmod(F.xxhash64(*told_apart), F.lit(share)) == 0
@@ -346,13 +370,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int
     texts, sample = docs.select(*columns), docs.filter(drawn).select(*columns)
 
     found = staged(frequent(texts, sample, least), "frequent")
-    phrases = found.filter(_length() >= 2)
-    marks = spark.sparkContext.broadcast(_mark(phrases, _bits(phrases.count())))
-    named = staged(_named(texts, marks).join(phrases.withColumnRenamed("n", "a"), "key"), "named")
+    phrases = named(texts, sample, found.filter(_length() >= 2).withColumnRenamed("n", "a"))
 
     firsts = found.select(F.col("key").alias("first_key"), F.col("n").alias("l"))
     rests = found.select(F.col("key").alias("rest_key"), F.col("n").alias("r"))
-    cuts = named.select("key", "a", F.posexplode(F.arrays_zip("firsts", "rests")).alias("k", "cut")).select(
+    cuts = phrases.select("key", "a", F.posexplode(F.arrays_zip("firsts", "rests")).alias("k", "cut")).select(
         "key", "a", "k", F.col("cut.firsts").alias("first_key"), F.col("cut.rests").alias("rest_key")
     )
     score = F.expr(f"CAST({SCALE} AS DECIMAL(38,0)) * CAST(a AS DECIMAL(20,0)) DIV (CAST(l AS DECIMAL(38,0)) + r)")
@@ -364,13 +386,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int
         .select("key", "cut.*")
     )
     around = (
-        named.select(F.explode("inner").alias("inner_key"), F.col("a").alias("longer"))
+        phrases.select(F.explode("inner").alias("inner_key"), F.col("a").alias("longer"))
         .groupBy("inner_key")
         .agg(F.max("longer").alias("longer"))
     )
     totals = found.filter(_length() == 0).select(F.col("key").alias("lang_key"), "n")
     kept = (
-        named.select("key", "lang_key", "lang", "phrase", "a")
+        phrases.select("key", "lang_key", "lang", "phrase", "a")
         .join(around, F.col("key") == F.col("inner_key"), "left")
         .filter(F.col("longer").isNull() | (_exact("longer") * 100 < _exact("a") * PERCENT))
         .join(weakest, "key")
