@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -36,9 +37,11 @@ def tiles_by_definition(item: list[str], doc: list[str]) -> int:
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), min_size=4, max_size=16), st.lists(st.sampled_from("abcde"), max_size=30))
 def test_tiling_equals_its_definition(item, doc):
-    found = dc.Block.of([(1, " ".join(item))]).matches(" ".join(doc))
-    covered = round(found[0][1] * len(item)) if found else 0
-    assert covered == tiles_by_definition(item, doc)
+    hashes = dc.TokenHashes()
+    i, j = (dc.token_hashes(" ".join(words), hashes) for words in (item, doc))
+    tiles = dc.greedy_tiles(i, j)
+    assert sum(tiles) == tiles_by_definition(item, doc) == tiled_by_rows(item, doc) and tiles == sorted(tiles, reverse=True)
+    assert dc.tiles_in(j, dc.rolling_hashes(j, dc.MIN_MATCH), i) == tiles
 
 
 def test_reordered_passages_are_caught_and_others_left_alone(spark):
@@ -58,14 +61,105 @@ def test_reordered_passages_are_caught_and_others_left_alone(spark):
     assert dc.keep_clean(docs, bench).columns == docs.columns
 
 
-def test_blocks_do_not_change_the_result(spark):
+def tiled_by_rows(item: list[str], doc: list[str]) -> int:
+    """The same, by the lengths of common runs from every pair of places of equal tokens."""
+    at = defaultdict(list)
+    for i, token in enumerate(item):
+        at[token].append(i)
+    marked_item, marked_doc, total = set(), set(), 0
+    while True:
+        best, below = (0, 0, 0), {}
+        for j in range(len(doc) - 1, -1, -1):
+            here = {}
+            if j not in marked_doc:
+                for i in at.get(doc[j], ()):
+                    if i not in marked_item:
+                        here[i] = n = below.get(i + 1, 0) + 1
+                        best = max(best, (n, -j, -i))
+            below = here
+        n, j, i = best[0], -best[1], -best[2]
+        if n < dc.MIN_MATCH:
+            return total
+        marked_item.update(range(i, i + n))
+        marked_doc.update(range(j, j + n))
+        total += n
+
+
+def coverages(docs, items):
+    """(doc_id, item_id, coverage) of every pair of rows that share tokens enough for one tile, for rows of id and text."""
+    out = []
+    for doc_id, text in docs:
+        doc = dc.TOKEN.findall((text or "").lower())
+        seeds = {tuple(doc[k : k + dc.MIN_MATCH]) for k in range(len(doc) - dc.MIN_MATCH + 1)}
+        for item_id, passage in set(items):
+            item = dc.TOKEN.findall((passage or "").lower())
+            covered = 0
+            if 0 < len(item) < dc.MIN_MATCH:
+                covered = len(item) * any(doc[k : k + len(item)] == item for k in range(len(doc)))
+            elif any(tuple(item[k : k + dc.MIN_MATCH]) in seeds for k in range(len(item) - dc.MIN_MATCH + 1)):
+                covered = tiled_by_rows(item, doc)
+            if covered:
+                out.append((doc_id, item_id, covered / len(item)))
+    return out
+
+
+def reaching(pairs, threshold):
+    return sorted((p for p in pairs if p[2] >= threshold), key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "item_id", "coverage").collect()), key=str)
+
+
+def test_the_whole_table_by_definition(spark):
     docs, bench = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "benchmark")
-    whole = dc.contaminations(docs, bench)
-    small = dc.contaminations(docs, bench, block_bytes=2000)
-    assert len(list(dc.blocks_of(bench, 2000))) > 3
-    assert whole.exceptAll(small).count() == small.exceptAll(whole).count() == 0
-    passages = {r.item_id: r.text for r in bench.collect()}
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    planted = {d for d, t in texts.items() if any(p in t for p in passages.values())}
-    assert planted and {r.doc_id for r in whole.collect()} >= planted
-    assert dc.keep_clean(docs, bench, block_bytes=2000).count() == len(texts) - len({r.doc_id for r in whole.collect()})
+    rows, items = [tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in bench.select("item_id", "text").collect()]
+    pairs = coverages(rows, items)
+    want = reaching(pairs, dc.THRESHOLD)
+    assert len(want) > 10
+    assert got(dc.contaminations(docs, bench)) == want
+    assert dc.keep_clean(docs, bench).count() == len(rows) - len({doc_id for doc_id, _, _ in want})
+    assert got(dc.contaminations(docs, bench, threshold=0.2)) == reaching(pairs, 0.2)
+
+
+def test_passages_cut_up_among_common_phrases(spark):
+    """Many items begin alike, and documents hold some of their pieces in any order."""
+    r = random.Random(5)
+    opening = "which of the following is the best answer to this"
+    items = [(k, opening + " " + " ".join(f"q{k}x{r.randrange(4)}" for _ in range(r.randrange(4, 30)))) for k in range(12)]
+    items += [(100, "one two"), (101, ""), (102, None), (103, "same same same same same same"), (3, items[4][1])]
+    docs = []
+    for k in range(50):
+        words = items[k % 12][1].split()
+        pieces = [words[a : a + 5] for a in range(0, len(words), 5)]
+        r.shuffle(pieces)
+        kept = sum(pieces[: r.randrange(len(pieces) + 1)], [])
+        docs.append((k, " ".join([opening, *kept, "same " * (k % 8), "one two" * (k % 2)])))
+    docs += [(7, docs[7][1]), (None, docs[9][1]), (500, None), (501, "")]
+    frames = (
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    pairs = coverages(docs, items)
+    for threshold in (0.3, 0.5, 0.9):
+        assert got(dc.contaminations(*frames, threshold=threshold)) == reaching(pairs, threshold)
+
+
+def test_periodic_texts_take_memory_in_proportion():
+    import tracemalloc
+
+    hashes = dc.TokenHashes()
+    for period in (1, 2, 7):
+        same = dc.token_hashes(" ".join(f"a{k % period}" for k in range(20_000)), hashes)
+        tracemalloc.start()
+        assert dc.greedy_tiles(same, same[:-1]) == [19_999]
+        assert dc.greedy_tiles(same[:30], same) == [30]
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+        tracemalloc.stop()
+
+
+def test_long_texts_are_split(monkeypatch):
+    hashes, text = dc.TokenHashes(), " ".join(f"Wort{k % 7} ÄB{k}. x-y" for k in range(50))
+    whole = dc.token_hashes(text, hashes)
+    monkeypatch.setattr(dc, "SEGMENT", 9)
+    assert dc.token_hashes(text, hashes).tolist() == whole.tolist() and len(whole) == 200
