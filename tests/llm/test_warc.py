@@ -107,10 +107,67 @@ def test_salvage_recovers_all_other_records(zipped, piece, monkeypatch):
         assert gaps or hit in ids or kind == "flip"
 
 
+def test_members_of_many_records():
+    parts = records(12)
+    assert salvaged(warc.member(b"".join(parts)), True) == (list(range(12)), [])
+    several = warc.member(b"".join(parts[:5])) + warc.member(parts[5]) + warc.member(b"".join(parts[6:]))
+    assert salvaged(several, True) == (list(range(12)), [])
+
+
+@pytest.mark.parametrize("piece", [97, 1 << 20])
+def test_damage_within_a_member_of_many_records(piece, monkeypatch):
+    monkeypatch.setattr(warc, "PIECE", piece)
+    monkeypatch.setattr(warc, "STEP", 1 + piece // 2)
+    r = random.Random(4)
+    parts = records(9)
+    for _ in range(30):
+        hit = r.randrange(9)
+        broken = bytearray(parts[hit])
+        at = r.randrange(len(broken))
+        if r.random() < 0.5:
+            broken[at] ^= 0x41
+        else:
+            del broken[at : at + 20]
+        data = warc.member(b"".join([*parts[:hit], bytes(broken), *parts[hit + 1 :]])) + warc.member(parts[0])
+        ids, gaps = salvaged(data, True)
+        assert set(range(9)) - {hit} <= set(ids) and ids.count(0) >= 1
+        assert gaps or hit in ids
+
+
+def test_what_comes_before_the_damage_of_a_member_is_had():
+    parts = records(9)
+    whole = warc.member(b"".join(parts))
+    ids, gaps = salvaged(whole[: len(whole) * 2 // 3], True)
+    assert ids == list(range(len(ids))) and 4 <= len(ids) <= 7 and gaps[-1][3] == "cut off member"
+    ids, gaps = salvaged(whole[:-6] + b"\0" * 6 + warc.member(parts[0]), True)
+    # The checksum is wrong, but every block has its own.
+    assert ids == [*range(9), 0] and len(gaps) == 1
+    bare = [re.sub(rb"WARC-Block-Digest: [^\r]*\r\n", b"", part) for part in parts]
+    packed = warc.member(b"".join(bare))
+    assert salvaged(packed, True) == (list(range(9)), [])
+    ids, gaps = salvaged(packed[:-6] + b"\0" * 6 + warc.member(parts[0]), True)
+    assert ids == [0] and gaps[0][3] == "bad member"
+
+
+def test_a_large_member_is_never_held_whole():
+    import tracemalloc
+
+    bomb = warc.member(b"WARC/1.1\r\nContent-Length: 99999999999\r\n\r\n" + b"x" * 10 + b"\0" * (200 << 20))
+    many = warc.member(b"".join(records(3) * 2000))
+    tracemalloc.start()
+    assert salvaged(bomb, True)[0] == []
+    assert len(salvaged(many, True)[0]) == 6000
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_salvage_of_cut_off_and_foreign_files():
     parts = [warc.member(x) for x in records(3)]
-    ids, gaps = salvaged(b"".join(parts)[:-7], True)
+    ids, gaps = salvaged(b"".join(parts)[:-60], True)
     assert ids == [0, 1] and gaps[0][3] == "cut off member"
+    # Only the checksum of the member is cut off; the block has a digest of its own.
+    ids, gaps = salvaged(b"".join(parts)[:-7], True)
+    assert ids == [0, 1, 2] and gaps[0][3] == "cut off member"
     ids, gaps = salvaged(b"no archive at all" * 100, True)
     assert ids == [] and len(gaps) == 1
     assert salvaged(b"", False) == ([], [])

@@ -4,11 +4,12 @@ Writer: every task writes archives of its own, each record a gzip member, under
 has; a manifest lists those of the attempts that ended well, and only those are read. A page whose payload equals that of a page
 with a smaller id becomes a ``revisit`` of it, without the payload.
 
-Reader: a record counts if its member inflates with a right checksum, its version line and header fields
-parse, its block has the stated length and the block's digest agrees. Where a check fails, the
-reader searches for the next gzip member that begins with a version line, or in plain archives for the next version
-line, goes on there, and logs the bytes between as quarantined. Files are read in pieces of ``PIECE`` bytes; what is held
-is one record at most.
+Reader: a record counts if its version line and header fields
+parse, its block has the stated length and the block's digest agrees; without a digest its member must inflate with
+a right checksum. A member may hold any number of records. Where a check fails, the
+reader searches for the next version line within the member, or else for the next gzip member, goes on there, and logs the bytes
+between as quarantined. Files are read in pieces of ``PIECE`` bytes and inflated in steps of ``STEP``; what is held
+is two records at most.
 
 Rules for odd input: null html is an empty payload; a null page id is written as an empty one and sorts last, so a page without
 an id revisits one with; rows that share the smallest id of a payload are all responses; an empty table writes no archive;
@@ -45,6 +46,9 @@ LONGEST_HEADER = 1 << 20
 REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 MAGIC = b"\x1f\x8b\x08"
+VERSION_MARK = b"WARC/1."
+#: Bytes that are inflated at once, and the most that deflate makes of one byte.
+STEP, DEFLATE_RATIO = 1 << 16, 1040
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 BREAK = b"\r\n\r\n"
 
@@ -210,29 +214,155 @@ def _checked(fields: dict[str, str], block: bytes) -> None:
         raise Damaged("block digest differs")
 
 
-def gzip_record(source: Source, start: int) -> Found:
-    """The record in the member at ``start``."""
-    if source.at(start, len(MAGIC)) != MAGIC:
-        raise Damaged("no member")
-    inflater, parts, at = zlib.decompressobj(31), [], start
-    while not inflater.eof:
-        piece = source.at(at, PIECE)
-        if not piece:
-            raise Damaged("cut off member")
+def _after_gzip_header(source: Source, start: int) -> int | None:
+    """Where the compressed bytes of a gzip member begin, null if its header is cut off."""
+    head = source.at(start, PIECE if PIECE > 1024 else 1024)
+    at, flags = 10, head[3] if len(head) > 3 else 0
+    if flags & 4:
+        at += 2 + int.from_bytes(head[at : at + 2], "little")
+    for flag in (8, 16):
+        if flags & flag:
+            at = head.find(b"\0", at) + 1 or len(head) + 1
+    at += 2 if flags & 2 else 0
+    return start + at if at <= len(head) else None
+
+
+class Inflated:
+    """What a gzip member holds, inflated bit by bit from a file; bytes that were looked at can be dropped.
+
+    The checksum is compared here, so that what comes before a damage is had.
+    """
+
+    def __init__(self, source: Source, start: int):
+        self.source, self.at = source, _after_gzip_header(source, start)
+        self.inflater, self.waiting = zlib.decompressobj(-15), b""
+        self.held, self.checksum, self.size = bytearray(), 0, 0
+        self.damage, self.ended = (None, False) if self.at else ("cut off member", True)
+
+    def fill(self, size: int) -> bool:
+        """Hold so many bytes, if the member has them."""
+        while len(self.held) < size and not self.ended:
+            if not self.waiting:
+                self.waiting = self.source.at(self.at, min(PIECE, STEP))
+                self.at += len(self.waiting)
+            if not self.waiting:
+                self.damage, self.ended = "cut off member", True
+                break
+            before = self.inflater.copy()
+            try:
+                self._take(self.inflater.decompress(self.waiting, STEP))
+            except zlib.error:
+                self._crawl(before)
+                break
+            self.waiting = self.inflater.unconsumed_tail
+            if self.inflater.eof:
+                self._end()
+        return len(self.held) >= size
+
+    def _take(self, data: bytes) -> None:
+        self.held += data
+        self.checksum, self.size = zlib.crc32(data, self.checksum), self.size + len(data)
+
+    def _crawl(self, inflater) -> None:
+        """The last bytes before a damage."""
         try:
-            parts.append(inflater.decompress(piece))
-        except zlib.error as error:
-            raise Damaged("bad member") from error
-        if at == start and not VERSION.match(parts[0][:12]) and len(parts[0]) >= 12:
+            while self.waiting:
+                data = inflater.decompress(self.waiting, 1)
+                self._take(data)
+                self.waiting = inflater.unconsumed_tail
+        except zlib.error:
+            pass
+        self.damage, self.ended = "bad member", True
+
+    def _end(self) -> None:
+        end = self.at - len(self.inflater.unused_data)
+        trailer = self.source.at(end, 8)
+        self.at, self.ended = end + 8, True
+        if len(trailer) < 8:
+            self.damage = "cut off member"
+        elif trailer != self.checksum.to_bytes(4, "little") + (self.size & 0xFFFFFFFF).to_bytes(4, "little"):
+            self.damage = "bad member"
+
+    def drop(self, size: int) -> None:
+        del self.held[:size]
+
+    def skip_to_version(self) -> bool:
+        """Drop all before the next version line, if there is one."""
+        while True:
+            found = self.held.find(VERSION_MARK)
+            if found >= 0:
+                self.drop(found)
+                return True
+            self.drop(max(0, len(self.held) - len(VERSION_MARK) + 1))
+            if not self.fill(len(self.held) + STEP) and self.held.find(VERSION_MARK) < 0:
+                return False
+
+
+def _next_in(member: Inflated, longest: int) -> Found:
+    """The record with which the rest of a member begins; it is dropped if it is good."""
+    size = 12
+    while member.fill(size) or member.held:
+        if not VERSION.match(member.held[:12]):
             raise Damaged("no version line")
-        at += len(piece)
-    record = b"".join(parts)
-    fields, begin, length = _parsed(record)
-    if record[begin + length :] != BREAK:
+        if BREAK in member.held:
+            break
+        if member.ended or size > LONGEST_HEADER:
+            raise Damaged(member.damage or "no end of header")
+        size = max(STEP, 2 * size)
+    fields, begin, length = _parsed(bytes(member.held[: member.held.find(BREAK) + len(BREAK)]))
+    if length > longest:
         raise Damaged("length differs")
-    block = record[begin : begin + length]
+    end = begin + length
+    if not member.fill(end + len(BREAK)) or member.held[end : end + len(BREAK)] != BREAK:
+        raise Damaged(member.damage or "length differs")
+    block = bytes(member.held[begin:end])
     _checked(fields, block)
-    return Found(at - len(inflater.unused_data), fields, block)
+    member.drop(end + len(BREAK))
+    return Found(0, fields, block)
+
+
+def _sound(source: Source, start: int) -> bool:
+    """Whether a member inflates to its end with a right checksum; nothing of it is held."""
+    member = Inflated(source, start)
+    while member.fill(1):
+        member.drop(len(member.held))
+    return member.damage is None
+
+
+def member_records(source: Source, start: int) -> Iterator[Found | Damaged]:
+    """The records of the member at ``start``, and what was wrong between them; ends with the place after it, as ``Found``.
+
+    A member may hold any number of records. After a failed check the search goes on for the next version line within it.
+    Of a member that does not inflate with a right checksum, records count that carry a digest of their block.
+    """
+    member, good = Inflated(source, start), None
+    if source.at(start, len(MAGIC)) != MAGIC:
+        yield Damaged("no member")
+        return
+    # No block is longer than what the rest of the file can inflate to.
+    longest = (source.size - start) * DEFLATE_RATIO
+    while member.fill(1):
+        try:
+            found = _next_in(member, longest)
+        except Damaged as damage:
+            yield damage
+            if not member.fill(1):
+                break
+            member.drop(1)
+            if not member.skip_to_version():
+                break
+            continue
+        if not found.fields.get("warc-block-digest"):
+            if good is None:
+                good = member.damage is None if member.ended else _sound(source, start)
+            if not good:
+                yield Damaged("bad member")
+                continue
+        yield found
+    if member.damage:
+        yield Damaged(member.damage)
+    else:
+        yield Found(member.at, {}, b"")
 
 
 def plain_record(source: Source, start: int) -> Found:
@@ -250,16 +380,23 @@ def plain_record(source: Source, start: int) -> Found:
 
 
 def salvage(source: Source, zipped: bool) -> Iterator[tuple[int, int, Found | None, str | None]]:
-    """(start, end, record, None) of every good record and (start, end, None, reason) of every gap, in order."""
-    read, mark = (gzip_record, MAGIC) if zipped else (plain_record, b"WARC/1.")
+    """(start, end, record, None) of every good record and (start, end, None, reason) of every gap, in order.
+
+    Of a member with several records the last one has its length, and so has the gap if anything in it was wrong; the others
+    have none.
+    """
+    return _salvage_members(source) if zipped else _salvage_plain(source)
+
+
+def _salvage_plain(source: Source) -> Iterator[tuple[int, int, Found | None, str | None]]:
     at, gap, reason = 0, None, None
     while 0 <= at < source.size:
         try:
-            found = read(source, at)
+            found = plain_record(source, at)
         except Damaged as damage:
             if gap is None:
                 gap, reason = at, str(damage)
-            at = source.find(mark, at + 1)
+            at = source.find(VERSION_MARK, at + 1)
             continue
         if gap is not None:
             yield gap, at, None, reason
@@ -270,6 +407,39 @@ def salvage(source: Source, zipped: bool) -> Iterator[tuple[int, int, Found | No
         yield gap, source.size, None, reason
 
 
+def _salvage_members(source: Source) -> Iterator[tuple[int, int, Found | None, str | None]]:
+    at, gap, reason = 0, None, None
+    while 0 <= at < source.size:
+        end, held, problems = None, None, []
+        for thing in member_records(source, at):
+            if isinstance(thing, Damaged):
+                problems.append(str(thing))
+            elif not thing.fields:
+                end = thing.end
+            else:
+                if gap is not None:
+                    yield gap, at, None, reason
+                    gap = None
+                if held is not None:
+                    yield at, at, held, None
+                # The last record of a sound member stands for its bytes, so one is held until it is known.
+                held = thing
+        sound = end is not None
+        end = end if sound else source.find(MAGIC, at + 1)
+        after = source.size if end < 0 else end
+        if held is None:
+            if gap is None:
+                gap, reason = at, problems[0] if problems else "no record"
+        elif problems:
+            yield at, at, held, None
+            yield at, after, None, problems[0]
+        else:
+            yield at, after, held, None
+        at = end
+    if gap is not None:
+        yield gap, source.size, None, reason
+
+
 def _read_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [field.split()[0] for field in RECORD.split(", ")]
     rows, held = [], 0
