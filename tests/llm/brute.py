@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from hashlib import blake2b
 
 LOWERED = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -50,31 +51,33 @@ def components(rows: list[tuple[int | None, str | None]]) -> list[tuple[int | No
     return sorted(out, key=str)
 
 
-def spans_removed(rows, sentences_of) -> dict[int, tuple[str, int]]:
-    """doc_id: (text that stays, removed sentences), for rows in order."""
+def runs_of(sentences):
+    """(first, after, digest) of every run of two sentences and 20 words, or one sentence of 40 words."""
+    split = [s.lower().split() for s in sentences]
+    for i in range(len(split)):
+        total, so_far = 0, blake2b(digest_size=16)
+        for j in range(i, len(split)):
+            total += len(split[j])
+            so_far.update("".join(w + " " for w in split[j]).encode("utf-8", "surrogatepass"))
+            if total >= 20 and j > i or j == i and total >= 40:
+                yield i, j + 1, so_far.digest()
+
+
+def runs_removed(rows, sentences_of) -> dict[int, tuple[str, int]]:
+    """doc_id: (text that stays, removed sentences), for rows in order, by all runs."""
     seen, out = set(), {}
     for doc_id, text in rows:
         sentences = sentences_of(text)
-        split = [s.lower().split() for s in sentences]
         gone = [False] * len(sentences)
-        for i in range(len(sentences)):
-            j, total = i, 0
-            if len(split[i]) >= 40:
-                j = i + 1
-            else:
-                while j < len(sentences) and (total < 20 or j - i < 2):
-                    total, j = total + len(split[j]), j + 1
-                if total < 20 or j - i < 2:
-                    continue
-            key = " ".join(sum(split[i:j], []))
+        for i, j, key in runs_of(sentences):
             if key in seen:
                 gone[i:j] = [True] * (j - i)
             seen.add(key)
-        out[doc_id] = ("".join(s for s, g in zip(sentences, gone, strict=True) if not g), sum(gone))
+        out[doc_id] = ("".join(s for s, g in zip(sentences, gone, strict=True) if not g) if any(gone) else text, sum(gone))
     return out
 
 
-def lines_removed(rows, least_words: int = 5) -> dict[int, tuple[str, int]]:
+def lines_removed(rows) -> dict[int, tuple[str, int]]:
     """doc_id: (text that stays, removed lines), for rows in order."""
     seen: list[frozenset] = []
     having = defaultdict(list)
@@ -83,7 +86,7 @@ def lines_removed(rows, least_words: int = 5) -> dict[int, tuple[str, int]]:
         stays, lines = [], (text or "").split("\n")
         for line in lines:
             w = frozenset(words(line))
-            if len(w) >= least_words:
+            if w:
                 shared = Counter(i for x in w for i in having[x])
                 if any(100 * n >= 75 * (len(w) + len(seen[i]) - n) for i, n in shared.items()):
                     hit = True

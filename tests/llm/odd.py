@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     "kept string, score string, doc string, found string, vertex string, n string, tokens string, "
-    "draw string, topic string, text_sha256 string, ranges string, line string, probability string, mix_weight string"
+    "draw string, topic string, text_sha256 string, ranges string, line string, probability string, mix_weight string, "
+    "dropped_id string, own_id string, leader string, key string, of_key string, item_id string, seed string, text_key string"
 )
 N_EXTRA = len(SCHEMA.split(", ")) - 5
 

@@ -9,7 +9,7 @@ from tests.llm import brute
 from tidemark.llm import line_dedup, ngram_join, substring_dedup
 from tidemark.llm.common import table
 from tidemark.llm.components import roots
-from tidemark.llm.count_tree import CountTree, count_vector, groups_for
+from tidemark.llm.count_tree import CountTree, banded_links, count_vector, groups_for
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.shingles import least_overlap, overlap
 
@@ -68,6 +68,42 @@ def test_tree_lets_every_link_through(drawn):
                 assert j in found
 
 
+def classes_of(links, n):
+    lowest = list(range(n))
+    for _ in range(n):
+        for a, b in links:
+            lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    return lowest
+
+
+@settings(max_examples=150, deadline=None)
+@given(sets, st.data())
+def test_bands_span_the_same_classes(drawn, data):
+    arrays = [np.array(sorted(s), dtype=np.uint64) for s in drawn]
+    n = len(arrays)
+    linked = [
+        (i, j) for i in range(n) for j in range(i) if overlap(arrays[i], arrays[j]) >= least_overlap(len(arrays[i]), len(arrays[j]))
+    ]
+    first = data.draw(st.integers(0, n - 1))
+    links = list(banded_links(arrays, overlap, first, np.ones(n, dtype=bool)))
+    assert classes_of(links, n) == classes_of(linked, n) and len(links) < n
+    # Some search all, the others have met before.
+    visiting = np.array(data.draw(st.lists(st.booleans(), min_size=n, max_size=n)))
+    met = [(i, j) for i, j in linked if not visiting[i] and not visiting[j]]
+    found = list(banded_links(arrays, overlap, first, visiting))
+    assert classes_of(met + found, n) == classes_of(linked, n)
+
+
+def test_a_large_set_among_many_small_ones_takes_little_memory():
+    import tracemalloc
+
+    arrays = [np.arange(20_000, dtype=np.uint64), *(np.arange(5, dtype=np.uint64) + np.uint64(100 * k) for k in range(1500))]
+    tracemalloc.start()
+    assert list(banded_links(arrays, overlap, 0, np.ones(len(arrays), dtype=bool))) == []
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.integers(1, 400), st.integers(1, 400), st.data())
 def test_linked_sets_share_the_needed_prefix_keys(n, m, data):
@@ -112,7 +148,7 @@ def test_line_dedup_of_many_near_lines(spark):
 
 def test_substring_dedup_equals_brute_force(spark):
     got = {r.doc_id: (r.text, r.n_removed) for r in QUERIES["op6_substring_dedup"](spark, MEDIUM).collect()}
-    assert got == brute.spans_removed(rows_of(spark, MEDIUM), substring_dedup.sentences_of)
+    assert got == brute.runs_removed(rows_of(spark, MEDIUM), substring_dedup.sentences_of)
 
 
 @settings(max_examples=300, deadline=None)

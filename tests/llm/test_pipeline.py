@@ -70,3 +70,14 @@ def test_odd_documents(spark):
 def test_the_rest_of_the_library_does_not_import_this():
     others = [p for d in ("tidemark", "checks") for p in Path(ROOT, d).rglob("*.py") if "llm" not in p.parts]
     assert others and not [p for p in others if "llm" in p.read_text()]
+
+
+def test_run_is_all_stages_in_a_row(spark):
+    from tests.conftest import SMALL
+
+    docs = table(spark, SMALL, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = staged(stage(spark, docs, SMALL), re.sub(r"\W", "-", name))
+    whole = corpus_pipeline.run(spark, SMALL)
+    assert whole.columns == docs.columns and whole.count() > 0
+    assert whole.exceptAll(docs).count() == docs.exceptAll(whole).count() == 0

@@ -2,43 +2,16 @@
 
 from __future__ import annotations
 
-from hashlib import blake2b
-
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.conftest import MEDIUM
+from tests.llm.brute import runs_of, runs_removed
 from tidemark.llm import substring_dedup
 from tidemark.llm.common import table
 from tidemark.llm.queries import QUERIES
 
 
-def runs_of(sentences):
-    """(first, after, digest) of every run of two sentences and 20 words, or one sentence of 40 words."""
-    split = [s.lower().split() for s in sentences]
-    for i in range(len(split)):
-        total, so_far = 0, blake2b(digest_size=16)
-        for j in range(i, len(split)):
-            total += len(split[j])
-            so_far.update("".join(w + " " for w in split[j]).encode("utf-8", "surrogatepass"))
-            if total >= 20 and j > i or j == i and total >= 40:
-                yield i, j + 1, so_far.digest()
-
-
-def runs_removed(rows):
-    """doc_id: (text that stays, removed sentences), for rows in order, by all runs."""
-    seen, out = set(), {}
-    for doc_id, text in rows:
-        sentences = substring_dedup.sentences_of(text)
-        gone = [False] * len(sentences)
-        for i, j, key in runs_of(sentences):
-            if key in seen:
-                gone[i:j] = [True] * (j - i)
-            seen.add(key)
-        out[doc_id] = ("".join(s for s, g in zip(sentences, gone, strict=True) if not g) if any(gone) else text, sum(gone))
-    return out
-
-
 def sentence(name: str, n: int) -> str:
     return " ".join(f"{name}{k}" for k in range(n)) + ". "
 
@@ -50,13 +23,13 @@ def test_a_run_that_starts_with_a_long_sentence_goes_whole(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: (r.text, r.n_removed) for r in substring_dedup.dedup(docs).select("doc.doc_id", "found.*").collect()}
     assert [got[k][1] for k in range(4)] == [0, 2, 0, 4]
-    assert got == runs_removed(rows)
+    assert got == runs_removed(rows, substring_dedup.sentences_of)
 
 
 def test_equals_all_runs_on_the_table(spark):
     rows = sorted(map(tuple, table(spark, MEDIUM, "documents").select("doc_id", "text").collect()))
     got = {r.doc_id: (r.text, r.n_removed) for r in QUERIES["op6_substring_dedup"](spark, MEDIUM).collect()}
-    assert got == runs_removed(rows)
+    assert got == runs_removed(rows, substring_dedup.sentences_of)
 
 
 @settings(max_examples=300, deadline=None)

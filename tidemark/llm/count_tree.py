@@ -22,8 +22,8 @@ def groups_for(largest: int) -> int:
 
 
 def count_vector(elements: np.ndarray, groups: int) -> np.ndarray:
-    counts = np.bincount((elements % np.uint64(groups)).astype(np.int64), minlength=groups)
-    return np.minimum(counts, 65535).astype(np.uint16)
+    """Counts by group, in the smallest type that holds any count of so many elements and is the same for sets of about a size."""
+    return np.bincount((elements % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.uint32)
 
 
 class CountTree:
@@ -87,14 +87,36 @@ class Forest:
         return a != b
 
 
-def spanning_links(
-    sets: list[np.ndarray], overlap, first: int, forest: Forest, queries: range | None = None
-) -> Iterator[tuple[int, int]]:
-    """Links that span the linked classes of ``sets``: first those of set ``first`` with all others.
+#: Sets that link lie in one band of sizes or in neighbouring ones, each so many times as wide as the one below; a little
+#: more than a link allows, so that no rounding matters.
+BAND = 1.01 * 100 / PERCENT
 
-    A pair already in one class is passed over, any other that the tree lets through is verified.
+
+def banded_links(sets: list[np.ndarray], overlap, first: int, searching: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links that span the linked classes of ``sets``, of those that are ``searching`` with all.
+
+    Every two neighbouring bands of sizes have a tree of their own, whose vectors are as long as its sets need. In each the
+    sets are compared with set ``first``, or else the first of the searching ones, before all others.
     """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    bands = np.floor(np.log(np.maximum(sizes, 1)) / np.log(BAND)).astype(np.int64)
+    forest = Forest(len(sets))
+    for band in np.unique(bands).tolist():
+        at = np.flatnonzero((bands == band) | (bands == band + 1))
+        # Searches from the upper band reach the lower one too; within itself it is searched with the next.
+        queries = np.flatnonzero(searching[at])
+        if len(at) < 2 or not len(queries):
+            continue
+        if not (bands[at] == band + 1).any() or searching.all():
+            queries = queries[bands[at][queries] == band]
+        yield from _spanning_links([sets[i] for i in at], sizes[at], overlap, first, forest, at, queries)
+
+
+def _spanning_links(sets, sizes, overlap, first, forest, at, queries) -> Iterator[tuple[int, int]]:
+    """Links among ``sets``, which are those at the positions ``at``, as positions.
+
+    A pair already in one class is passed over, any other that the tree lets through is verified.
+    """
     groups = groups_for(int(sizes.max()))
     vectors = np.stack([count_vector(s, groups) for s in sets])
 
@@ -102,17 +124,15 @@ def spanning_links(
         return overlap(sets[a], sets[b]) >= least_overlap(int(sizes[a]), int(sizes[b]))
 
     tree = CountTree(vectors, sizes)
-    for b in tree.search(vectors[first], int(sizes[first])).tolist():
-        if b != first and forest.root(first) != forest.root(b) and linked(first, b):
-            forest.join(first, b)
-            yield first, b
-    for a in range(len(sets)) if queries is None else queries:
-        main = forest.root(a)
-        if a == first:
-            continue
+    leading = np.flatnonzero(at == first)
+    order = [*leading.tolist(), *(q for q in queries.tolist() if at[q] != first)]
+    for a in order:
+        own = int(at[a])
+        main = forest.root(own)
         for b in tree.search(vectors[a], int(sizes[a])).tolist():
+            other = int(at[b])
             # A pair of two queries is met from either side.
-            if forest.root(b) != main and linked(a, b):
-                forest.join(a, b)
-                main = forest.root(a)
-                yield a, b
+            if other != own and forest.root(other) != main and linked(a, b):
+                forest.join(own, other)
+                main = forest.root(own)
+                yield own, other

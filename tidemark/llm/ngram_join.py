@@ -7,7 +7,7 @@
    shuffled. How many they share at least follows from the sizes (``needed_keys``): a set of which fewer prefix
    shingles occur anywhere else links with nothing and leaves, twice. All remaining sets with a prefix shingle in
    common join the block of the smallest of them: the two ends of every possible link meet in at least one block.
-3. In a block an R-tree indexes the sets as points of group counts. The summed coordinate minima bound the overlap
+3. In a block an R-tree for every two neighbouring bands of sizes indexes the sets as points of group counts. The summed coordinate minima bound the overlap
    with a node or a point; pairs that survive are verified on the full sets. Pairs that are in one class already are
    passed over, so a block of near copies costs about a search per member, and links that span its classes are all
    it gives out.
@@ -31,17 +31,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import as_row, staged
 from tidemark.llm.components import roots
-from tidemark.llm.count_tree import CountTree, Forest, count_vector, groups_for, spanning_links
+from tidemark.llm.count_tree import banded_links
 from tidemark.llm.shingles import PERCENT, WordHashes, least_overlap, overlap, set_id, shingle_set
 
 SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 LOW_BITS = 64 - SLOT_BITS
 LOW_MASK = np.uint64((1 << LOW_BITS) - 1)
-#: Shingles in one page of a block, 16 MB of them.
-PAGE_SHINGLES = 2_000_000
+#: Shingles in one page of a block, 4 MB of them.
+PAGE_SHINGLES = 500_000
 #: One of so many shingles of a set is in its prefix, at least.
 PREFIX_PART = 3
 #: Ids of the documents whose sets are compared are broadcast up to this number, 16 MB of them.
@@ -146,6 +146,16 @@ def _shared(rows: DataFrame) -> DataFrame:
     ).filter("leader <> last").drop("last")
 
 
+def _shared_again(rows: DataFrame) -> DataFrame:
+    """The same of the rows that are left: keys are combined before the shuffle, and the join can be split at a hot one.
+
+    For all prefix rows this would shuffle them twice, and most keys have one row.
+    """
+    ends = rows.groupBy(F.col("key").alias("of_key")).agg(F.min("vertex").alias("leader"), F.max("vertex").alias("last"))
+    crowded = ends.filter("leader <> last").drop("last")
+    return rows.join(crowded, F.col("key") == F.col("of_key")).drop("of_key")
+
+
 def _with_enough(shared: DataFrame) -> DataFrame:
     """Rows of the vertices that share as many keys as a link needs."""
     enough = (
@@ -160,10 +170,10 @@ def _with_enough(shared: DataFrame) -> DataFrame:
 def blocks_of(prefixes: DataFrame) -> DataFrame:
     """leader, vertex, n: every block with all its members, the leader among them."""
     rows = prefixes
-    for turn in ("shared", "shared-again"):
-        shared = _shared(rows).select("key", "leader", "vertex", "n", "needed").distinct()
+    for turn, share in (("shared", _shared), ("shared-again", _shared_again)):
+        shared = share(rows).select("key", "leader", "vertex", "n", "needed").distinct()
         rows = _with_enough(staged(shared, turn)).drop("leader")
-    return _shared(rows).select("leader", "vertex", "n").distinct()
+    return _shared_again(rows).select("leader", "vertex", "n").distinct()
 
 
 def _paged(blocks: DataFrame, page_shingles: int) -> tuple[DataFrame, int]:
@@ -227,17 +237,12 @@ def _links_in_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         vertices = page["vertex"].tolist()
         sets = [np.frombuffer(s, dtype=np.uint64) for s in page["shingles"]]
-        forest = Forest(len(sets))
         leader = page["leader"].iat[0]
         first = vertices.index(leader) if leader in vertices else 0
+        # Residents of a page have met before, so only visitors, if there are any, search it.
         visits = page["visits"].to_numpy()
-        queries = None
-        if visits.any():
-            # Residents of a page have met before, so only visitors search it.
-            order = np.argsort(~visits, kind="stable").tolist()
-            vertices, sets = [vertices[i] for i in order], [sets[i] for i in order]
-            first, queries = 0, range(int(visits.sum()))
-        rows += [(vertices[a], vertices[b]) for a, b in spanning_links(sets, overlap, first, forest, queries)]
+        searching = visits if visits.any() else np.ones(len(sets), dtype=bool)
+        rows += [(vertices[a], vertices[b]) for a, b in banded_links(sets, overlap, first, searching)]
         if len(rows) > 50_000:
             yield pd.DataFrame(rows, columns=["a", "b"])
             rows = []
@@ -319,4 +324,5 @@ def keep_one(docs: DataFrame, page_shingles: int = PAGE_SHINGLES) -> DataFrame:
         components(docs, page_shingles).filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct(),
         "dropped",
     )
-    return docs.join(dropped, docs["doc_id"] == F.col("dropped_id"), "left_anti")
+    rows = docs.select(as_row(docs), F.col("doc_id").cast("long").alias("own_id"))
+    return rows.join(dropped, F.col("own_id") == F.col("dropped_id"), "left_anti").select("doc.*")

@@ -31,6 +31,72 @@ SELECT conv_id, count(*) AS n_turns,
 FROM lengths GROUP BY conv_id
 """
 
+OP2_LINE_DEDUP = r"""
+WITH split AS (
+    SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+    SELECT doc_id, unnest(range(1, len(parts) + 1)) AS line, parts FROM split
+), sets AS (
+    SELECT doc_id, line, parts[line] AS line_text, list_sort(list_distinct(regexp_extract_all(
+        translate(parts[line], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) AS w
+    FROM lines
+), numbered AS (
+    SELECT *, row_number() OVER (ORDER BY doc_id, line) AS place FROM sets
+), classes AS (
+    SELECT w, min(place) AS first, len(w) AS n FROM numbered WHERE len(w) > 0 GROUP BY w
+), words AS (
+    SELECT first, n, unnest(w) AS word FROM classes
+), counted AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS met FROM words
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY first ORDER BY met, word) AS rank FROM counted
+), prefixes AS (
+    SELECT first, n, word FROM ranked WHERE rank <= n - (75 * n + 99) // 100 + 1
+), candidates AS (
+    SELECT DISTINCT a.first AS earlier, b.first AS later FROM prefixes a JOIN prefixes b
+        ON a.word = b.word AND a.first < b.first AND 100 * a.n >= 75 * b.n AND 100 * b.n >= 75 * a.n
+), matched AS (
+    SELECT DISTINCT later FROM candidates c JOIN classes a ON a.first = c.earlier JOIN classes b ON b.first = c.later
+    WHERE 100 * len(list_intersect(a.w, b.w)) >= 75 * (a.n + b.n - len(list_intersect(a.w, b.w)))
+), decided AS (
+    SELECT x.*, c.first IS NOT NULL AND (x.place > c.first OR m.later IS NOT NULL) AS goes
+    FROM numbered x LEFT JOIN classes c USING (w) LEFT JOIN matched m ON m.later = c.first
+), kept AS (
+    SELECT doc_id, string_agg(line_text, chr(10) ORDER BY line) FILTER (NOT goes) AS text, count(*) AS n_lines, count_if(goes) AS n_removed
+    FROM decided GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN k.n_removed > 0 THEN coalesce(k.text, '') ELSE d.text END AS text,
+       CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE k.n_lines END::INTEGER AS n_lines,
+       coalesce(k.n_removed, 0)::INTEGER AS n_removed
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+OP5_NGRAM_JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), places AS (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle FROM places
+), sizes AS (
+    SELECT doc_id, count(*)::BIGINT AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)
+), reached AS (
+    SELECT doc_id AS node, doc_id AS from_id FROM documents
+    UNION SELECT l.b, r.from_id FROM reached r JOIN links l ON l.a = r.node
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.from_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reached r ON r.node = d.doc_id GROUP BY d.doc_id
+"""
+
 # Base32 of a SHA-1: five hexadecimal digits are four letters.
 OP7_WARC = """
 WITH hashed AS (
@@ -137,7 +203,9 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 2
 """
 
 SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_LINE_DEDUP,
     "op4_chat_format": OP4_CHAT_FORMAT,
+    "op5_ngram_jaccard_join": OP5_NGRAM_JACCARD_JOIN,
     "op7_warc": OP7_WARC,
     "op9_exact_dedup": OP9_EXACT_DEDUP,
     "op11_collocations": OP11_COLLOCATIONS,
