@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+import math
 from datetime import datetime
+from decimal import Decimal
+from fractions import Fraction
+
+from pyspark.sql import functions as F
 
 from checks.queries import summary_by_id
 from tidemark.operators import models, sessions
@@ -64,3 +69,22 @@ def test_summary_flags_sessions_with_a_purchase(spark):
     df = spark.createDataFrame(rows, "event_id string, event_ts timestamp, event_type string, user_id bigint")
     got = {r.customer_id: (r.event_count, r.purchased_flag) for r in summary_by_id(sessions.with_session_id(df)).collect()}
     assert got == {1: (2, True), 2: (1, False)}
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    """Of 38.3128125 the last digit decides how six places are rounded."""
+    prices = [i / 7 for i in range(400)] + [38.3128125, 0.1, 0.2, 0.3, 1e-9, -5.5, 999_999_999.99, None]
+    rows = [(1, "a", price) for price in prices] + [(2, None, 38.3128125 + d) for d in (-1.25, 1.25, -0.1, 0.1) * 40]
+    rows += [(3, "a", float("nan")), (3, "a", 1.0), (4, "b", 1e300), (4, "b", 2.0), (5, "c", None)]
+    schema = "product_id bigint, category_code string, price double"
+    seen = set()
+    for seed in range(10):
+        shuffled = spark.createDataFrame(rows, schema).orderBy(F.rand(seed)).repartition(1 + seed)
+        dim = models.dim_product(shuffled).orderBy("product_id").collect()
+        seen.add(tuple(map(str, dim)))
+    assert len(seen) == 1
+    mean = {r.product_id: r.price for r in dim}
+    known = [Fraction(p) for p in prices if p is not None]
+    assert abs(mean[1] - float(sum(known) / len(known))) < 1e-9
+    assert round(Decimal(repr(mean[2])), 7) == Decimal("38.3128125")
+    assert math.isnan(mean[3]) and mean[4] == 5e299 and mean[5] is None

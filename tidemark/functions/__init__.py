@@ -6,7 +6,7 @@ from tidemark.functions.keys import (
     session_key_columns,
     user_key_columns,
 )
-from tidemark.functions.measures import is_purchase, price_band, revenue
+from tidemark.functions.measures import is_purchase, optional, price_band, revenue
 from tidemark.functions.parsing import (
     blank_to_null,
     floating_number,
@@ -19,6 +19,7 @@ __all__ = [
     "event_key",
     "floating_number",
     "is_purchase",
+    "optional",
     "parse_event_time",
     "price_band",
     "revenue",

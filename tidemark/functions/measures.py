@@ -21,15 +21,15 @@ def is_purchase() -> Column:
     return F.coalesce(F.lower(F.col("event_type").cast("string")).rlike(PURCHASE_PATTERN), F.lit(False))
 
 
+def optional(name: str, present: Sequence[str], type_name: str) -> Column:
+    """A column in the given type, null if the rows don't have it."""
+    return (F.col(name) if name in present else F.lit(None)).cast(type_name)
+
+
 def revenue(present: Sequence[str]) -> Column:
     """Price times quantity of a purchase (no price: 0, no quantity: 1), null for other events."""
-    no_price, one_piece = F.lit(0.0), F.lit(1.0)
-    price = F.coalesce(F.col("price").cast("double"), no_price) if "price" in present else no_price
-    pieces = (
-        F.coalesce(F.col("quantity").cast("double"), one_piece)
-        if "quantity" in present
-        else one_piece
-    )
+    price = F.coalesce(optional("price", present, "double"), F.lit(0.0))
+    pieces = F.coalesce(optional("quantity", present, "double"), F.lit(1.0))
     return F.when(is_purchase(), price * pieces)
 
 
