@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.ingest import now_utc
-from tidemark.operators.standardize import clean_strings
-from tidemark.plans.silver import keyed_events
+from tidemark.operators.standardize import clean_strings, standardize_types, with_event_id
 from tidemark.sources.layout import Lake
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_table, write_table
 
 
 def quality_results(
@@ -22,19 +21,17 @@ def quality_results(
     event_types: Sequence[str],
 ) -> DataFrame:
     # Silver ids are made to be there and unique, so what arrived is checked too.
-    arrived = [quality.check_unique(keyed_events(bronze), "bronze")]
-    if "event_id" in bronze.columns:
-        arrived.append(quality.check_not_null(clean_strings(bronze), "bronze", ["event_id"]))
-    return quality.all_checks(
-        [
-            *arrived,
-            quality.check_events(silver, "silver", event_types),
-            quality.check_unique(silver, "silver"),
-            quality.check_row_counts(
-                bronze, silver, gold["fact_events"], gold["dim_customer"], gold["session_summary"]
-            ),
-            quality.check_reference(gold["fact_events"], gold["dim_product"]),
-        ]
+    arrived = clean_strings(bronze)
+    if "event_id" in arrived.columns:
+        arrived = arrived.withColumn("no_id", F.col("event_id").isNull())
+    return quality.check_lake(
+        arrived.transform(standardize_types).transform(with_event_id),
+        silver,
+        gold["fact_events"],
+        gold["dim_customer"],
+        gold["dim_product"],
+        gold["session_summary"],
+        event_types,
     )
 
 
@@ -48,4 +45,4 @@ def run_quality(spark: SparkSession, lake: Lake, event_types: Sequence[str]) ->
         read_table(spark, lake.bronze), read_table(spark, lake.silver), gold, event_types
     )
     checked = results.withColumn("checked_at", F.lit(now_utc()).cast("timestamp"))
-    checked.write.mode("append").parquet(lake.quality)
+    write_table(checked, lake.quality, "append")
