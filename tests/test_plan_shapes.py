@@ -13,6 +13,7 @@ from tests.conftest import SMALL
 from tidemark.operators import models, sessions
 from tidemark.operators.changes import in_dates
 from tidemark.operators.standardize import clean_strings
+from tidemark.plans.quality import quality_results
 from tidemark.plans.silver import silver_events
 from tidemark.sources.tables import read_table, write_table
 
@@ -40,22 +41,58 @@ def test_dedupe_limits_each_group_before_the_shuffle(spark):
 
 def test_session_index_shuffles_aggregates_only(silver):
     index = sessions.session_index(silver)
-    assert exchanges(index) == 2
     below_first = plan(index).split("Exchange hashpartitioning")[-1]
     assert "partial_min" in below_first
+    # Cells by cell and by block, on both sides of the join with the blocks, which are brought together by key.
+    assert exchanges(index) == 5
+
+
+def test_no_window_orders_all_cells_of_a_key(silver):
+    specs = re.findall(r"windowspecdefinition\(([^$]*?)specifiedwindowframe", plan(sessions.session_index(silver)))
+    assert specs and all("_block" in spec for spec in specs)
+    by_cell = [spec for spec in specs if "session_cell" in spec]
+    assert by_cell and all(spec.index("_block") < spec.index("session_cell") for spec in by_cell)
 
 
 def test_most_rows_of_the_index_need_no_event_id(silver):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)", plan(sessions.session_index(silver)))
-    assert len(schemas) == 2
-    assert sum("event_id" in s for s in schemas) == 1
+    # Each side of the join of cells with their blocks, which is one side at run time.
+    assert len(schemas) == 4
+    assert sum("event_id" in s for s in schemas) == 2
 
 
 def test_events_join_the_index_on_user_and_cell(silver):
     index = sessions.session_index(silver)
     facts = models.fact_events(sessions.attach_sessions(models.with_revenue(silver), index, 1800))
     joins = re.findall(r"Join \[([^\]]*)\]", plan(facts))
-    assert joins and all("session_cell" in keys and "key_number" in keys for keys in joins)
+    assert joins and all("key_number" in keys and ("session_cell" in keys or "_block" in keys) for keys in joins)
+
+
+def test_events_that_stand_alone_are_not_moved(silver):
+    index = sessions.session_index(silver)
+    found = sessions.attach_sessions(silver, index, 1800)
+    assert re.search(r"PushedFilters: \[[^\]]*(?<!Or\()IsNull\(user_id\)", plan(found))
+    branches = plan(sessions.alone_summary(silver))
+    assert "Exchange" not in branches and "IsNull(user_id)" in branches
+
+
+def test_quality_checks_scan_each_table_once(spark, silver):
+    text = plan(
+        quality_results(
+            bronze_rows(spark, SMALL),
+            silver,
+            {
+                "fact_events": silver.withColumnRenamed("user_id", "customer_id"),
+                "dim_customer": models.dim_customer(silver),
+                "dim_product": models.dim_product(silver),
+                "session_summary": sessions.alone_summary(silver),
+            },
+            ["view"],
+        )
+    )
+    # Bronze, of two source tables in two drops, then silver, facts, two dimensions and sessions.
+    scans = len(re.findall("FileScan", text)) - len(re.findall("FileScan", plan(bronze_rows(spark, SMALL))))
+    assert scans == 5
 
 
 def test_dimensions_read_only_their_columns(silver):

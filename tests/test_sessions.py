@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.queries import keyed_shop
+from checks.queries import keyed_shop, summary_by_id
 from tests.conftest import MEDIUM
-from checks.queries import summary_by_id
 from tidemark.operators import sessions
+from tidemark.sources.scratch import stage
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 DECLARED = T.StructType(
@@ -156,3 +156,25 @@ def test_same_sessions_as_sparks_own_session_window(spark):
         .count()
     )
     assert ours == theirs
+
+
+def test_numbers_do_not_depend_on_the_blocks(spark, monkeypatch):
+    """Blocks of two cells, of sixteen, and all cells in one."""
+    r = random.Random(11)
+    rows, start = [], 1_704_067_200
+    for user in (1, 2, 3):
+        at = start + r.randrange(100)
+        for _ in range(150):
+            at += r.choice([0, 1, 2, 3, 9, 40])
+            rows.append((f"{user}-{len(rows)}", user if r.random() < 0.9 else None, at))
+    rows += [(f"u{k}", 1, None) for k in range(5)]
+    events = spark.createDataFrame(rows, "event_id string, user_id bigint, t bigint").selectExpr(
+        "event_id", "user_id", "timestamp_seconds(t) AS event_ts", "'view' AS event_type"
+    )
+    events = stage(events, "blocks")
+    seen = []
+    for bits in (1, 4, 40):
+        monkeypatch.setattr(sessions, "BLOCK_BITS", bits)
+        found = sessions.with_session_id(events, gap_seconds=3)
+        seen.append(sorted(tuple(map(str, row)) for row in found.select("event_id", "session_id").collect()))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == len(rows)

@@ -6,6 +6,8 @@ where sessions start. Cells are made by a plain aggregation (combined before the
 cells, at most one per gap and user, are ordered per user. Events then look their number up by
 (user, cell), a join that adaptive execution can split if a cell is hot.
 
+Events without a user whose id is no number, as derived ids are, cannot share a session and are not looked up at all.
+
 Events without a time come first and each is its own session. They are spread over a fixed number
 of cells by a hash of their id, counted per cell, and ranked within the cell.
 """
@@ -29,6 +31,9 @@ DEFAULT_GAP_SECONDS = 1800
 UNTIMED_BASE = -(1 << 62)
 UNTIMED_HEX_DIGITS = 3
 
+# Cells of a key that are ordered by one task: two to this power.
+BLOCK_BITS = 12
+
 KEY = ["key_number", "key_text"]
 CELL = ["key_number", "session_cell", "key_text", "has_user"]
 
@@ -63,11 +68,18 @@ def with_session_cell(events: DataFrame, gap_seconds: int) -> DataFrame:
     )
 
 
+def stands_alone() -> Column:
+    """Whether an event without a user has an id that spells no number: no other event can share its session."""
+    event = F.col("event_id").cast("string")
+    number = event.try_cast("bigint").cast("string")
+    return F.col("user_id").isNull() & event.isNotNull() & ~F.coalesce(number == event, F.lit(False))
+
+
 def _cell_inputs(events: DataFrame, gap_seconds: int, by: tuple[str, ...]) -> DataFrame:
     """What cells are made of, in two scans: most rows need no event id, the widest column.
 
     Event ids are read only where the user or the time is missing, and parquet statistics let
-    that scan skip row groups without such a row.
+    that scan skip row groups without such a row. Events that stand alone have no cell.
     """
     needed = [*by, *CELL, F.col("event_ts").cast("timestamp"), "event_type"]
     whole = F.col("user_id").isNotNull() & F.col("event_ts").isNotNull()
@@ -75,7 +87,7 @@ def _cell_inputs(events: DataFrame, gap_seconds: int, by: tuple[str, ...]) -> Da
     plain = events.filter(whole).withColumns(
         {**user_key_columns(), "session_cell": _timed_cell(gap_seconds)}
     )
-    odd = with_session_cell(events.filter(lacking), gap_seconds)
+    odd = with_session_cell(events.filter(lacking & ~stands_alone()), gap_seconds)
     return plain.select(*needed).unionByName(odd.select(*needed))
 
 
@@ -102,29 +114,51 @@ def _merged(cells: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def _idle_since(seen: str, start: str = "start_ts") -> Column:
+    return F.unix_timestamp(start) - F.unix_timestamp(seen)
+
+
 def number_sessions(cells: DataFrame, gap_seconds: int) -> DataFrame:
     """Add ``session_no``: the session of a timed cell, or the sessions before an untimed one.
 
-    A timed cell may come in several rows, as when it was made per date and spans midnight.
+    A timed cell may come in several rows, as when it was made per date and spans midnight. Numbers are sums on two levels:
+    sessions opened within a block of ``1 << BLOCK_BITS`` cells, and in the blocks before. So a key
+    of very many cells is ordered block by block, by tasks of their own, and only its blocks in one.
     """
+    block = [*KEY, "_block"]
+    blocked = cells.withColumn("_block", F.shiftright("session_cell", BLOCK_BITS))
     # Rows of one cell are less than a gap apart, and the latest comes last, where lag picks it up.
-    in_order = Window.partitionBy(*KEY).orderBy("session_cell", "end_ts", "has_user")
+    in_order = Window.partitionBy(*block).orderBy("session_cell", "end_ts", "has_user")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    untimed = F.col("start_ts").isNull()
-    idle = F.unix_timestamp("start_ts") - F.unix_timestamp("_seen_ts")
+    untimed, gap = F.col("start_ts").isNull(), F.lit(gap_seconds)
     opened = (
         F.when(untimed, F.col("event_count"))
-        .when(idle <= F.lit(gap_seconds), F.lit(0))
+        # Whether the first cell of a block opens a session is seen from the block before.
+        .when(F.row_number().over(in_order) == 1, F.lit(0))
+        .when(_idle_since("_seen_ts") <= gap, F.lit(0))
         .otherwise(F.lit(1))
     )
-    before = F.when(untimed, F.col("event_count")).otherwise(F.lit(0))
-    return (
-        cells.withColumn("_seen_ts", F.lag("end_ts").over(in_order))
+    within = (
+        blocked.withColumn("_seen_ts", F.lag("end_ts").over(in_order))
         .withColumn("_opened", opened)
-        .withColumn("session_no", F.sum("_opened").over(so_far) - before)
-        .drop("_seen_ts", "_opened")
+        .withColumn("_within", F.sum("_opened").over(so_far))
+    )
+    blocks = within.groupBy(*block).agg(
+        F.min("start_ts").alias("first_ts"), F.max("end_ts").alias("last_ts"), F.sum("_opened").alias("opened")
+    )
+    by_block = Window.partitionBy(*KEY).orderBy("_block")
+    joins_on = (
+        F.when(F.col("first_ts").isNull(), F.lit(0)).when(_idle_since("seen_ts", "first_ts") <= gap, F.lit(0)).otherwise(F.lit(1))
     )
+    before = (
+        blocks.withColumn("seen_ts", F.lag("last_ts").over(by_block))
+        .withColumn("first_opens", joins_on)
+        .withColumn("_before", F.sum(F.col("opened") + F.col("first_opens")).over(by_block) - F.col("opened"))
+        .select(*block, "_before")
+    )
+    own = F.when(untimed, F.col("event_count")).otherwise(F.lit(0))
+    numbered = within.join(before, block).withColumn("session_no", F.col("_before") + F.col("_within") - own)
+    return numbered.select(*cells.columns, "session_no")
 
 
 def session_index(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
@@ -145,7 +179,7 @@ def _untimed_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
 
     They are ordered by a hash of their id: counted per cell, then ranked within the cell.
     """
-    untimed = with_session_cell(events.filter(F.col("event_ts").isNull()), gap_seconds)
+    untimed = with_session_cell(events.filter(F.col("event_ts").isNull() & ~stands_alone()), gap_seconds)
     found = _look_up(untimed, number_sessions(_cells_of(untimed), gap_seconds))
     within_cell = Window.partitionBy(*CELL).orderBy(_id_hash(), "event_id")
     return found.withColumn("session_no", F.col("session_no") + F.row_number().over(within_cell))
@@ -155,11 +189,18 @@ def attach_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) -> Da
     """Add ``session_id`` to events whose timed cells are all in ``index``.
 
     ``event_id`` is expected to be unique, as it is after deduplication, and a key's untimed events
-    to be there all or not at all. Timed and untimed rows are read separately: pass a table scan,
-    not a costly derivation.
+    to be there all or not at all. Rows without a time, and those that stand alone, are read separately: pass a table
+    scan, not a costly derivation. What stands alone is the first session of its own and is not moved.
     """
-    timed = with_session_cell(events.filter(F.col("event_ts").isNotNull()), gap_seconds)
-    numbered = _look_up(timed, index).unionByName(_untimed_sessions(events, gap_seconds))
+    timed = with_session_cell(events.filter(F.col("event_ts").isNotNull() & ~stands_alone()), gap_seconds)
+    alone = events.filter(stands_alone()).withColumns({**session_key_columns(), "session_no": F.lit(1).cast("bigint")})
+    needed = [*events.columns, *KEY, "session_no"]
+    numbered = (
+        _look_up(timed, index)
+        .select(*needed)
+        .unionByName(_untimed_sessions(events, gap_seconds).select(*needed))
+        .unionByName(alone.select(*needed))
+    )
     return numbered.select(*events.columns, session_id(F.col("session_no")).alias("session_id"))
 
 
@@ -168,19 +209,8 @@ def with_session_id(events: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -
     return attach_sessions(events, session_index(events, gap_seconds), gap_seconds)
 
 
-def summarize_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) -> DataFrame:
-    """One row per session straight from the numbered cells; events are read for untimed rows only."""
-    timed = _merged(index.filter(F.col("start_ts").isNotNull()), *KEY, "has_user", "session_no")
-    untimed = _untimed_sessions(events, gap_seconds).select(
-        *KEY,
-        "has_user",
-        "session_no",
-        F.col("event_ts").alias("start_ts"),
-        F.col("event_ts").alias("end_ts"),
-        F.lit(1).cast("bigint").alias("event_count"),
-        is_purchase().alias("purchased_flag"),
-    )
-    return timed.unionByName(untimed).select(
+def _summary(sessions: DataFrame) -> DataFrame:
+    return sessions.select(
         session_id(F.col("session_no")).alias("session_id"),
         F.when(F.col("has_user"), F.col("key_number")).alias("customer_id"),
         "start_ts",
@@ -188,3 +218,38 @@ def summarize_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) ->
         "event_count",
         "purchased_flag",
     )
+
+
+def timed_summary(numbered: DataFrame) -> DataFrame:
+    """One row per session of timed cells, straight from the numbered cells."""
+    return _summary(_merged(numbered.filter(F.col("start_ts").isNotNull()), *KEY, "has_user", "session_no"))
+
+
+def _one_each(events: DataFrame) -> DataFrame:
+    """Summaries of events that are sessions of their own."""
+    found = events.select(
+        *KEY,
+        "has_user",
+        "session_no",
+        F.col("event_ts").cast("timestamp").alias("start_ts"),
+        F.col("event_ts").cast("timestamp").alias("end_ts"),
+        F.lit(1).cast("bigint").alias("event_count"),
+        is_purchase().alias("purchased_flag"),
+    )
+    return _summary(found)
+
+
+def untimed_summary(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """One row per event without a time that doesn't stand alone."""
+    return _one_each(_untimed_sessions(events, gap_seconds))
+
+
+def alone_summary(events: DataFrame) -> DataFrame:
+    """One row per event that stands alone."""
+    first = F.lit(1).cast("bigint")
+    return _one_each(events.filter(stands_alone()).withColumns({**session_key_columns(), "session_no": first}))
+
+
+def summarize_sessions(events: DataFrame, index: DataFrame, gap_seconds: int) -> DataFrame:
+    """One row per session straight from the numbered cells; events are read for untimed rows and those that stand alone."""
+    return timed_summary(index).unionByName(untimed_summary(events, gap_seconds)).unionByName(alone_summary(events))

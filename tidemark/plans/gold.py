@@ -35,18 +35,19 @@ def run_gold(
     require_utc(spark)
     gap_seconds = sessions.gap_from_minutes(session_gap_minutes)
     silver = read_table(spark, silver_dir, skip_corrupt=skip_corrupt)
-    cells = sessions.session_index(silver, gap_seconds)
 
     def write(name: str, rows: DataFrame) -> Callable[[], int]:
         return lambda: write_table(rows, f"{gold_dir}/{name}", mode)
 
-    with staging_folder(spark, "session_index") as folder:
-        index, *_ = together(
+    with staging_folder(spark, "session_cells") as at, staging_folder(spark, "session_index") as folder:
+        # Cells are read twice, to number them by block and the blocks by key.
+        cells, *_ = together(
             spark,
-            lambda: stored(cells, folder),
+            lambda: stored(sessions.session_cells(silver, gap_seconds), at),
             write("dim_customer", models.dim_customer(silver)),
             write("dim_product", models.dim_product(silver)),
         )
+        index = stored(sessions.number_sessions(cells, gap_seconds), folder)
         together(
             spark,
             write("fact_events", fact_rows(silver, index, gap_seconds)),
