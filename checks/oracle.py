@@ -184,7 +184,7 @@ CUSTOMERS = """SELECT user_id AS customer_id, min(event_ts) AS first_seen_ts,
 PRODUCTS = f"""SELECT product_id, category, brand, round(price, 6) AS price,
     {_band("price")} AS price_band
   FROM (SELECT product_id, max(category_code) AS category, max(brand) AS brand,
-               avg(price) AS price
+               CAST(sum(CAST(price AS DECIMAL(28, 12))) AS double) / nullif(count(price), 0) AS price
         FROM ev WHERE product_id IS NOT NULL GROUP BY product_id)"""
 
 
@@ -370,6 +370,17 @@ def all_sql() -> dict[str, str]:
         "grown_session_summary": _with(dirty, SUMMARY),
         "grown_dim_customer": _with(SILVER, CUSTOMERS),
         "grown_dim_product": _with(SILVER, PRODUCTS),
+        "native_grown_fact_events": _with(
+            NATIVE_SILVER + _sessions(1800),
+            FACTS.replace(_revenue(), _revenue("coalesce(quantity, 1.0)")),
+        ),
+        "native_grown_session_summary": _with(NATIVE_SILVER + _sessions(1800), SUMMARY),
+        "grown_widened_events": _with(
+            SILVER,
+            "SELECT event_id, event_ts, event_date, event_type, user_id, product_id, category_code, brand, price,"
+            " CASE WHEN ingest_ts = TIMESTAMP '2024-02-01 02:00:00' THEN cast(cast(user_session AS bigint) % 4 AS integer) END"
+            " AS quantity FROM ev",
+        ),
         "exported_dim_customer": _with(SILVER, CUSTOMERS),
         "exported_dim_product": _with(SILVER, PRODUCTS),
         "exported_fact_events": _with(dirty, FACTS),

@@ -18,7 +18,6 @@ from tidemark.plans.quality import quality_results
 from tidemark.plans.session import UTC_NAMES
 from tidemark.plans.silver import keyed_events
 from tidemark.sources.export import export_csv
-from tidemark.sources.files import set_age
 from tidemark.sources.layout import Lake
 from tidemark.sources.raw import read_raw_events
 from tidemark.sources.scratch import new_folder, stage
@@ -68,16 +67,23 @@ def dirty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_events(bronze_rows(spark, sf_dir))
 
 
+# Spark's defaults strip spaces.
+AS_IT_IS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_drops(spark: SparkSession, sf_dir: str, raw_dir: str, drops: tuple[int, ...]) -> None:
     """The raw clicks of some drops as CSV files, a folder per drop."""
     for drop in drops:
         rows = raw_clicks(spark, sf_dir).filter(F.col("drop_no") == drop).select(*RAW_COLUMNS)
-        (
-            rows.write.option("header", "true")
-            .option("ignoreLeadingWhiteSpace", "false")
-            .option("ignoreTrailingWhiteSpace", "false")
-            .csv(f"{raw_dir}/drop={drop}")
-        )
+        rows.write.options(**AS_IT_IS).csv(f"{raw_dir}/drop={drop}")
+
+
+def set_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Give the files of a folder a modification time some days before their own, as a restore does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in files.listStatus(path):
+        files.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
 
 
 def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +223,7 @@ def session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_summary_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary_by_id(sessions.with_session_id(keyed_shop(spark, sf_dir)))
+    return summary_by_id(sessions.with_session_id(stage(keyed_shop(spark, sf_dir), "keyed")))
 
 
 def summary_by_id(found: DataFrame) -> DataFrame:
@@ -238,7 +244,7 @@ def session_summary_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of a bulk load in which whole orders share one time."""
-    events = standardize.with_event_id(order_events(spark, sf_dir))
+    events = stage(standardize.with_event_id(order_events(spark, sf_dir)), "orders")
     gap = sessions.DEFAULT_GAP_SECONDS
     return sessions.summarize_sessions(events, sessions.session_index(events, gap), gap)
 
@@ -375,6 +381,39 @@ def grown_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_price(read_table(spark, _grown_lake(spark, sf_dir).gold_table("dim_product")))
 
 
+def _native_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """Clicks with native ids, a file per drop: the second drop takes events of the first to other dates."""
+    lake = Lake(new_folder(spark, "lake"))
+    for drop in (1, 2):
+        rows = native_clicks(spark, sf_dir).filter(F.col("drop_no") == drop).drop("drop_no")
+        rows.coalesce(1).write.options(**AS_IT_IS).csv(f"{lake.root}/raw/drop={drop}")
+        run_incremental(spark, f"{lake.root}/raw", lake)
+    return lake
+
+
+def native_grown_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _native_lake(spark, sf_dir).gold_table("fact_events"))
+
+
+def native_grown_session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _native_lake(spark, sf_dir).gold_table("session_summary"))
+
+
+def grown_widened_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drops in turn; the second has a column more, the others in another order, and a file without events beside it."""
+    lake = Lake(new_folder(spark, "lake"))
+    write_drops(spark, sf_dir, f"{lake.root}/raw", (1,))
+    run_incremental(spark, f"{lake.root}/raw", lake)
+    late = raw_clicks(spark, sf_dir).filter("drop_no = 2").drop("drop_no")
+    pieces = (F.col("user_session").cast("bigint") % 4).cast("string").alias("quantity")
+    late.select(pieces, *reversed(late.columns)).write.options(**AS_IT_IS).csv(f"{lake.root}/raw/drop=2")
+    late.select("brand", "user_id").write.options(**AS_IT_IS).csv(f"{lake.root}/raw/other")
+    run_incremental(spark, f"{lake.root}/raw", lake, widen=True)
+    return read_table(spark, lake.silver).select(
+        "event_id", "event_ts", "event_date", "event_type", "user_id", "product_id", "category_code", "brand", "price", "quantity"
+    )
+
+
 def _exported(spark: SparkSession, rows: DataFrame) -> DataFrame:
     folder = new_folder(spark, "export")
     export_csv(rows, folder)
@@ -445,6 +484,9 @@ _QUERIES = (
     grown_session_summary,
     grown_dim_customer,
     grown_dim_product,
+    native_grown_fact_events,
+    native_grown_session_summary,
+    grown_widened_events,
     exported_dim_customer,
     exported_dim_product,
     exported_fact_events,

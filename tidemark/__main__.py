@@ -12,6 +12,7 @@ from tidemark.plans import run_bronze, run_gold, run_incremental, run_quality, r
 from tidemark.sources.export import export_csv
 from tidemark.sources.layout import GOLD_TABLES, Lake
 from tidemark.sources.tables import read_table
+from tidemark.streaming.ingest import set_aside
 
 
 def show_table(spark: SparkSession, path: str, rows: int) -> None:
@@ -56,7 +57,10 @@ def incremental(spark: SparkSession, args: argparse.Namespace) -> None:
         session_gap_minutes=args.session_gap_minutes,
         files_per_batch=args.files_per_batch,
         skip_corrupt=args.skip_corrupt,
+        widen=args.widen,
     )
+    for path, columns in sorted(set_aside(spark, Lake(args.lake).bronze).items()):
+        print(f"set aside {path}: columns {columns}")
 
 
 def quality(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -122,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
     corrupt(sub)
     sub = job("incremental", incremental, "raw-dir", "lake")
     corrupt(sub)
+    sub.add_argument("--widen", action="store_true", help="take files with more columns than before")
     sub.add_argument("--files-per-batch", type=int, help="raw files that one step takes in")
     glob(sub)
     gap(sub)

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.sessions import KEY, UNTIMED_BASE, UNTIMED_HEX_DIGITS, with_session_cell
+from tidemark.operators.sessions import KEY, UNTIMED_BASE, UNTIMED_HEX_DIGITS, stands_alone, timed_summary, with_session_cell
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -25,18 +25,6 @@ def processed_through(events: DataFrame) -> datetime | None:
     return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
-def ingested_after(rows: DataFrame, since: datetime | None) -> DataFrame:
-    return rows if since is None else rows.filter(F.col("ingest_ts") > F.lit(since))
-
-
-def distinct_dates(rows: DataFrame) -> list[date | None]:
-    """The ``event_date`` values present.
-
-    They are the names of a table's partitions, which the driver lists anyway to read the table.
-    """
-    return [r["event_date"] for r in rows.select("event_date").distinct().collect()]
-
-
 def in_dates(dates: list[date | None]) -> Column:
     """A filter on the partition column that prunes the scan; null stands for undated rows."""
     known = [d for d in dates if d is not None]
@@ -50,18 +38,41 @@ def changed_sessions(fresh: DataFrame, gap_seconds: int) -> DataFrame:
     A number depends only on what comes before it, so earlier cells keep theirs.
     """
     return (
-        with_session_cell(fresh, gap_seconds)
+        with_session_cell(fresh.filter(~stands_alone()), gap_seconds)
         .groupBy(*KEY)
         .agg(F.min("session_cell").alias("from_cell"))
     )
 
 
+def _first_timed() -> Column:
+    return F.lit(UNTIMED_BASE + 16**UNTIMED_HEX_DIGITS)
+
+
 def dates_from(cells: DataFrame, changed: DataFrame) -> DataFrame:
     """Dated cells of changed keys whose session numbers can differ."""
-    first_timed = F.lit(UNTIMED_BASE + 16**UNTIMED_HEX_DIGITS)
     # A new untimed event renumbers everything after it; a timed one leaves untimed events alone.
-    reach = F.when(changed["from_cell"] < first_timed, F.lit(UNTIMED_BASE)).otherwise(
+    reach = F.when(changed["from_cell"] < _first_timed(), F.lit(UNTIMED_BASE)).otherwise(
         changed["from_cell"]
     )
     same_key = [cells[c] == changed[c] for c in KEY]
     return cells.join(changed, [*same_key, cells["session_cell"] >= reach], "left_semi")
+
+
+def first_changed_session(numbered: DataFrame, changed: DataFrame) -> DataFrame:
+    """Per changed key, the first session that can differ: the first one after the change, or the one before if it may go on.
+
+    Cells before the change, and all sessions that end there, keep their numbers. Cells are as wide as the gap, so a session
+    can go on into the changed cell from the one before it at most.
+    """
+    earlier = numbered.join(changed, KEY).filter(F.col("session_cell") < F.col("from_cell"))
+    last = earlier.groupBy(*KEY).agg(F.max("session_no").alias("last_no"), F.max("session_cell").alias("last_cell"))
+    goes_on = F.col("last_cell") >= F.col("from_cell") - 1
+    first = F.when(goes_on, F.col("last_no")).otherwise(F.col("last_no") + 1)
+    # A change among untimed events renumbers every session.
+    timed = F.when(F.col("from_cell") >= _first_timed(), first)
+    return changed.join(last, KEY, "left").select(*KEY, F.coalesce(timed, F.lit(0)).alias("first_no"))
+
+
+def touched_sessions(numbered: DataFrame, first: DataFrame) -> DataFrame:
+    """Summaries of the timed sessions of some keys from a number on."""
+    return timed_summary(numbered.join(first, KEY).filter(F.col("session_no") >= F.col("first_no")))

@@ -10,10 +10,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators.ingest import stamp_ingestion
 from tidemark.plans.session import require_utc
-from tidemark.sources.files import path_exists
 from tidemark.sources.raw import read_header_groups, read_raw_events
 from tidemark.sources.tables import write_table
-from tidemark.streaming.ingest import SINK_LOG
 
 
 def run_bronze(
@@ -36,8 +34,6 @@ def run_bronze(
     of columns that the table lacks is refused unless ``widen`` is set.
     """
     require_utc(spark)
-    if mode == "append" and path_exists(spark, f"{bronze_dir}/{SINK_LOG}"):
-        raise ValueError(f"{bronze_dir} is filled by a stream, which would hide appended files")
     if header_patterns:
         raw = read_header_groups(spark, raw_dir, header_patterns, skip_corrupt)
     else:

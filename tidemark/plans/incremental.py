@@ -1,28 +1,23 @@
 """One incremental run: unseen files to bronze, then only what they touch in silver and gold.
 
-Every table is a function of the layer below it. A run rewrites whole date partitions from that
-layer and never reads what it overwrites, so a run that broke off is repeated without harm. What
-is done is noted per layer only after its tables are written.
+Every table is published as a whole version with the version of the layer below that it was made from, so a run that broke
+off leaves what was there and the next makes it good. What is new in bronze is read from the folders of the writes
+since that version; nothing looks through older rows for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import timedelta
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import models, sessions
-from tidemark.operators.changes import (
-    EPOCH,
-    changed_sessions,
-    dates_from,
-    distinct_dates,
-    in_dates,
-    ingested_after,
-)
+from tidemark.operators.changes import EPOCH, changed_sessions, dates_from, first_changed_session, touched_sessions
 from tidemark.operators.dedupe import latest_per_event
 from tidemark.operators.ingest import now_utc
 from tidemark.operators.standardize import stable_order
@@ -30,174 +25,259 @@ from tidemark.plans.gold import fact_rows
 from tidemark.plans.session import require_utc
 from tidemark.plans.silver import keyed_events, silver_events
 from tidemark.plans.together import together
-from tidemark.sources.files import path_exists
+from tidemark.sources.buckets import append_bucketed, read_bucketed
+from tidemark.sources.files import delete_folder, path_exists
 from tidemark.sources.layout import Lake
-from tidemark.sources.raw import header_schema
-from tidemark.sources.tables import read_table, replace_dates, write_table
+from tidemark.sources.scratch import staging_folder, stored
+from tidemark.sources.tables import (
+    DATE_COLUMN,
+    UNDATED,
+    Version,
+    note,
+    read_added,
+    read_table,
+    replace_dates,
+    version_of,
+    write_table,
+)
+from tidemark.sources.versions import latest, publish_next
 from tidemark.streaming.ingest import ingest_new_files
 
-PROGRESS = "layer string, gap_seconds int, through_ts timestamp, noted_at timestamp"
+#: The note of a version that names the version it was made from.
+MADE_FROM = "made_from"
+ID_DATES = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("part", T.StringType())])
+#: Buckets of the dates of native ids: a task of the join with new ids looks at one.
+ID_BUCKETS = 64
 
-def done_through(
-    spark: SparkSession, lake: Lake, layer: str, gap_seconds: int | None = None
-) -> datetime | None:
-    """The latest ``ingest_ts`` a layer has taken in; null if it has to be made from the start."""
-    if not path_exists(spark, lake.progress):
-        return None
-    # As microseconds, so that the driver's own time zone plays no part.
-    last = F.max_by(F.struct("gap_seconds", F.unix_micros("through_ts").alias("micros")), "noted_at")
-    notes = spark.read.schema(PROGRESS).parquet(lake.progress).filter(F.col("layer") == layer)
-    note = notes.agg(last.alias("note")).first()["note"]
-    if note is None or note["micros"] is None or note["gap_seconds"] != gap_seconds:
-        return None
-    return EPOCH + timedelta(microseconds=note["micros"])
 
+def done_through(spark: SparkSession, lake: Lake, layer: str, gap_seconds: int | None = None) -> int | None:
+    """The version of the layer below that a layer has taken in; null if it has to be made from the start."""
+    if layer == "silver":
+        version = version_of(spark, lake.silver)
+        return version.notes.get(MADE_FROM) if version else None
+    done = _gold_done(spark, lake)
+    return done["silver"] if done and done["gap_seconds"] == gap_seconds else None
 
-def note_done(
-    spark: SparkSession,
-    lake: Lake,
-    layer: str,
-    through: datetime | None,
-    gap_seconds: int | None = None,
-) -> None:
-    """Note that a layer is complete through an instant, or, with none, that it is being remade."""
-    note = spark.range(1).select(
-        F.lit(layer).alias("layer"),
-        F.lit(gap_seconds).cast("int").alias("gap_seconds"),
-        F.lit(through).cast("timestamp").alias("through_ts"),
-        F.lit(now_utc()).alias("noted_at"),
-    )
-    note.coalesce(1).write.mode("append").parquet(lake.progress)
+
+def _parts_of(rows: DataFrame) -> set[str]:
+    """Names of the date partitions of some rows, which the driver lists anyway to read a table."""
+    names = rows.select(F.coalesce(F.col(DATE_COLUMN).cast("string"), F.lit(UNDATED)).alias("part"))
+    return {row.part for row in names.distinct().collect()}
 
 
-def _has_native_id(bronze: DataFrame) -> bool:
-    return "event_id" in bronze.columns
+def _parts_of_ids(spark: SparkSession, lake: Lake, ids: DataFrame) -> set[str]:
+    """Where copies of events may lie, found by a join that moves the new ids only."""
+    return {row.part for row in dates_of_ids(spark, lake, ids).select("part").distinct().collect()}
 
 
-def _copies(bronze: DataFrame, fresh: DataFrame) -> DataFrame:
-    """All bronze rows that share an event id with fresh ones, in whatever date they are."""
-    ids = keyed_events(fresh).select(F.col("event_id").alias("_id")).distinct()
-    rows = keyed_events(bronze)
-    return rows.join(ids, rows["event_id"] == ids["_id"], "left_semi")
+def dates_of_ids(spark: SparkSession, lake: Lake, ids: DataFrame) -> DataFrame:
+    known = read_bucketed(spark, lake.id_dates, ID_DATES, "event_id", ID_BUCKETS)
+    return known.join(ids, "event_id", "left_semi")
 
 
-def touched_dates(bronze: DataFrame, since: datetime | None) -> list[date | None]:
-    """Dates whose silver rows can differ after the rows ingested later than ``since``.
+def _note_ids(spark: SparkSession, lake: Lake) -> None:
+    """Bring the dates of native ids up to silver. They may say too much, as after a crash, and never too little."""
+    silver, progress = version_of(spark, lake.silver), f"{lake.id_dates}_progress"
+    done = latest(spark, progress)
+    changed = silver.changed_parts(done[1]["silver"] if done else None)
+    if changed is None or changed:
+        rows = read_table(spark, lake.silver, parts=changed).select(
+            "event_id", F.coalesce(F.col(DATE_COLUMN).cast("string"), F.lit(UNDATED)).alias("part")
+        )
+        known = read_bucketed(spark, lake.id_dates, ID_DATES, "event_id", ID_BUCKETS)
+        append_bucketed(rows.join(known, ["event_id", "part"], "left_anti"), lake.id_dates, "event_id", ID_BUCKETS)
+        publish_next(spark, progress, {"silver": silver.number})
 
-    A derived id contains the event time, so its copies share a date. A native id may have copies
-    elsewhere, and a newer copy takes the place of one in another date.
+
+def refresh_silver(spark: SparkSession, lake: Lake) -> None:
+    """Bring silver up to bronze: new rows take the place of earlier ones of their events."""
+    bronze = version_of(spark, lake.bronze)
+    if bronze is None:
+        return
+    since = done_through(spark, lake, "silver")
+    native = "event_id" in bronze.schema.names
+    if since != bronze.number:
+        notes = {MADE_FROM: bronze.number}
+        if bronze.changed_parts(since) == set():
+            note(spark, lake.silver, notes)  # files were set aside and nothing was added
+            return
+        added = read_added(spark, lake.bronze, since)
+        # A native id that comes later may name events that had a derived one.
+        other_ids = since is not None and native and "event_id" not in version_of(spark, lake.silver).notes.get("native", [])
+        if added is None or other_ids:
+            rows = silver_events(read_table(spark, lake.bronze))
+            write_table(rows, lake.silver, notes={**notes, "native": ["event_id"] if native else []})
+        else:
+            with staging_folder(spark, "fresh") as folder:
+                fresh = stored(latest_per_event(keyed_events(added)), folder)
+                _merge_silver(spark, lake, fresh, native, notes)
+    if native:
+        _note_ids(spark, lake)
+
+
+def _merge_silver(spark: SparkSession, lake: Lake, fresh: DataFrame, native: bool, notes: dict[str, Any]) -> None:
+    """Replace the dates that hold the fresh events or an earlier copy of them.
+
+    A derived id holds the time of its event, so its copies share a date; native ids are looked up.
     """
-    fresh = ingested_after(bronze, since)
-    if since is None or not _has_native_id(bronze):
-        return distinct_dates(fresh)
-    return distinct_dates(_copies(bronze, fresh))
+    ids = fresh.select("event_id")
+    if native:
+        _note_ids(spark, lake)  # what a run that broke off has left undone
+    parts = _parts_of(fresh) | (_parts_of_ids(spark, lake, ids) if native else set())
+    before = read_table(spark, lake.silver, parts=parts)
+    for name in set(fresh.columns) - set(before.columns):
+        before = before.withColumn(name, F.lit(None).cast(fresh.schema[name].dataType))
+    copies = before.join(ids, "event_id", "left_semi").select(*fresh.columns)
+    met = copies.unionByName(fresh)
+    number = version_of(spark, lake.silver).number + 1
+    changes = met.select("event_id", "user_id", "event_ts", "event_type")
+    changes.write.mode("overwrite").parquet(lake.silver_changes(number))
+    untouched = before.join(ids, "event_id", "left_anti")
+    rows = stable_order(latest_per_event(met)).unionByName(untouched)
+    replace_dates(rows, lake.silver, parts, notes)
+
+
+def _gold_done(spark: SparkSession, lake: Lake) -> dict[str, Any] | None:
+    done = latest(spark, lake.gold_progress)
+    return done[1] if done else None
+
+
+def note_done(spark: SparkSession, lake: Lake, gap_seconds: int, silver: int, tables: list[str]) -> None:
+    """Note which version of silver gold was made from, and the versions of its tables."""
+    numbers = {path: version_of(spark, path).number for path in tables}
+    publish_next(spark, lake.gold_progress, {"gap_seconds": gap_seconds, "silver": silver, "tables": numbers})
+
+
+def _changed_rows(spark: SparkSession, lake: Lake, silver: Version, since: int) -> DataFrame | None:
+    """Rows that silver has got or lost since a version; null if that is not known."""
+    folders = [lake.silver_changes(number) for number, _, _, names in silver.since(since) if names]
+    if not all(path_exists(spark, folder) for folder in folders):
+        return None
+    return spark.read.parquet(*folders)
 
 
-def silver_of_dates(bronze: DataFrame, dates: list[date | None]) -> DataFrame:
-    """The silver rows of the given dates, as a full rebuild would have them."""
-    dated = bronze.filter(in_dates(dates))
-    if not _has_native_id(bronze):
-        return silver_events(dated)
-    latest = latest_per_event(_copies(bronze, dated))
-    return stable_order(latest.filter(in_dates(dates)))
+def _replacing(rows: DataFrame, path: str, parts: set[str], hidden: bool = False) -> Callable[[], None]:
+    return lambda: replace_dates(rows, path, parts, hidden_date=hidden)
 
 
-def refresh_silver(spark: SparkSession, lake: Lake, through: datetime) -> None:
-    """Bring silver up to bronze, whose rows are all ingested at or before ``through``."""
-    bronze = read_table(spark, lake.bronze)
-    since = done_through(spark, lake, "silver")
-    dates = touched_dates(bronze, since)
-    if not dates:
-        return
-    replace_dates(silver_of_dates(bronze, dates), lake.silver, dates)
-    note_done(spark, lake, "silver", through)
-
-
-def _fact_dates(
-    bronze: DataFrame,
-    silver: DataFrame,
-    cells: DataFrame,
-    dates: list[date | None],
-    since: datetime | None,
-    gap_seconds: int,
-) -> list[date | None]:
-    """The touched dates and those where a touched user's sessions may be renumbered."""
-    if since is None:
-        return dates
-    if _has_native_id(bronze):
-        # A replaced row may have left any of these dates, for any user: take all that follow.
-        everything = distinct_dates(cells)
-        if None in dates:
-            return list({*everything, *dates})
-        return list({*dates, *(d for d in everything if d is not None and d >= min(dates))})
-    fresh = ingested_after(silver.filter(in_dates(dates)), since)
-    moved = dates_from(cells, changed_sessions(fresh, gap_seconds))
-    return list({*dates, *distinct_dates(moved)})
-
-
-def _numbered_cells(
-    cells: DataFrame, dates: list[date | None], gap_seconds: int, everything: bool
-) -> DataFrame:
-    """Cells of the given dates with their session numbers, counted over all cells of their keys."""
-    history = cells
-    if not everything:
-        active = cells.filter(in_dates(dates)).select(*sessions.KEY).distinct()
-        history = cells.join(active, sessions.KEY, "left_semi")
-    return sessions.number_sessions(history, gap_seconds).filter(in_dates(dates))
-
-
-def _replacing(rows: DataFrame, path: str, dates: list[date | None]) -> Callable[[], None]:
-    return lambda: replace_dates(rows, path, dates)
-
-
-def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int, through: datetime) -> None:
+def refresh_gold(spark: SparkSession, lake: Lake, gap_seconds: int) -> None:
     """Bring the gold tables up to silver by way of mergeable parts kept per date."""
-    bronze, silver = read_table(spark, lake.bronze), read_table(spark, lake.silver)
-    since = done_through(spark, lake, "gold", gap_seconds)
-    dates = touched_dates(bronze, since)
-    if not dates:
+    silver = version_of(spark, lake.silver)
+    if silver is None:
         return
-    if since is None:
-        note_done(spark, lake, "gold", None, gap_seconds)
-
-    touched = silver.filter(in_dates(dates))
-    by_day = ("event_date",)
-    parts = {
-        "customer_days": models.customer_parts(touched, by_day),
-        "product_days": models.product_parts(touched, by_day),
-        f"cell_days_{gap_seconds}": sessions.session_cells(touched, gap_seconds, by_day),
+    state = {
+        "customer_days": lambda rows: models.customer_parts(rows, (DATE_COLUMN,)),
+        "product_days": lambda rows: models.product_parts(rows, (DATE_COLUMN,)),
+        f"cell_days_{gap_seconds}": lambda rows: sessions.session_cells(rows, gap_seconds, (DATE_COLUMN,)),
     }
-    together(spark, *(_replacing(rows, lake.state(name), dates) for name, rows in parts.items()))
-    customers, products, cells = (read_table(spark, lake.state(name)) for name in parts)
-    fact_dates = _fact_dates(bronze, silver, cells, dates, since, gap_seconds)
+    numbered = lake.state(f"numbered_days_{gap_seconds}")
+    tables = [*(lake.state(name) for name in state), numbered, *(lake.gold_table(n) for n in ("fact_events", "session_summary"))]
+    since = done_through(spark, lake, "gold", gap_seconds)
+    if since == silver.number:
+        return
+    parts = silver.changed_parts(since)
+    if parts == set() and _tables_as_noted(spark, lake):
+        note_done(spark, lake, gap_seconds, silver.number, tables)
+        return
+    changed = _changed_rows(spark, lake, silver, since) if parts else None
+    if changed is not None and _tables_as_noted(spark, lake):
+        _merge_gold(spark, lake, gap_seconds, state, numbered, parts, changed)
+    else:
+        _make_gold(spark, lake, gap_seconds, state, numbered)
+    note_done(spark, lake, gap_seconds, silver.number, tables)
+    for number in range((since or 0) + 1, silver.number + 1):
+        delete_folder(spark, lake.silver_changes(number))
 
-    numbered_path = lake.state(f"numbered_days_{gap_seconds}")
-    numbered = _numbered_cells(cells, fact_dates, gap_seconds, everything=since is None)
-    together(
-        spark,
-        _replacing(numbered, numbered_path, fact_dates),
+
+def _tables_as_noted(spark: SparkSession, lake: Lake) -> bool:
+    """Whether the tables are those of the last run: one that broke off, or another job, may have written some."""
+    noted = _gold_done(spark, lake)["tables"]
+    versions = {path: version_of(spark, path) for path in noted}
+    return all(version and version.number == noted[path] for path, version in versions.items())
+
+
+State = dict[str, Callable[[DataFrame], DataFrame]]
+
+
+def _start_dated(summary: DataFrame) -> DataFrame:
+    return summary.withColumn(DATE_COLUMN, F.to_date("start_ts"))
+
+
+def _merge_dimensions(spark: SparkSession, lake: Lake) -> list[Callable[[], Any]]:
+    customers, products = (read_table(spark, lake.state(name)) for name in ("customer_days", "product_days"))
+    return [
         lambda: write_table(models.merge_customers(customers), lake.gold_table("dim_customer")),
         lambda: write_table(models.merge_products(products), lake.gold_table("dim_product")),
+    ]
+
+
+def _make_gold(spark: SparkSession, lake: Lake, gap_seconds: int, state: State, numbered: str) -> None:
+    silver = read_table(spark, lake.silver)
+    together(spark, *(lambda rows=make(silver), name=name: write_table(rows, lake.state(name)) for name, make in state.items()))
+    cells = read_table(spark, lake.state(f"cell_days_{gap_seconds}"))
+    together(
+        spark,
+        lambda: write_table(sessions.number_sessions(cells, gap_seconds), numbered),
+        *_merge_dimensions(spark, lake),
     )
-    index = read_table(spark, numbered_path)
-    summary = sessions.summarize_sessions(silver, index, gap_seconds)
-    changed = in_dates(fact_dates)
-    numbers = sessions.one_number_per_cell(index.filter(changed))
-    facts = fact_rows(silver.filter(changed), numbers, gap_seconds)
+    index = read_table(spark, numbered)
+    facts = fact_rows(silver, sessions.one_number_per_cell(index), gap_seconds)
+    summary = _start_dated(sessions.summarize_sessions(silver, index, gap_seconds))
     together(
         spark,
-        _replacing(facts, lake.gold_table("fact_events"), fact_dates),
-        lambda: write_table(summary, lake.gold_table("session_summary")),
+        lambda: write_table(facts, lake.gold_table("fact_events")),
+        lambda: write_table(summary, lake.gold_table("session_summary"), hidden_date=True),
     )
-    note_done(spark, lake, "gold", through, gap_seconds)
 
 
-def _raw_schema(spark: SparkSession, raw_dir: str, lake: Lake, pattern: str) -> T.StructType:
-    """The raw columns every file must have: those of the lake's first run, kept as an empty table."""
-    kept = lake.state("raw_columns")
-    if not path_exists(spark, kept):
-        spark.createDataFrame([], header_schema(spark, raw_dir, pattern)).write.parquet(kept)
-    return read_table(spark, kept).schema
+def _merge_gold(
+    spark: SparkSession, lake: Lake, gap_seconds: int, state: State, numbered: str, parts: set[str], changed: DataFrame
+) -> None:
+    """Sessions are numbered anew for users with changed events only, and rewritten from the first that can differ."""
+    touched = read_table(spark, lake.silver, parts=parts)
+    together(spark, *(_replacing(make(touched), lake.state(name), parts) for name, make in state.items()))
+    cells = read_table(spark, lake.state(f"cell_days_{gap_seconds}"))
+    with staging_folder(spark, "changed") as a, staging_folder(spark, "renumbered") as b, staging_folder(spark, "old") as c:
+        keys = stored(changed_sessions(changed, gap_seconds), a)
+        history = cells.join(keys.select(*sessions.KEY), sessions.KEY, "left_semi")
+        renumbered = stored(sessions.number_sessions(history, gap_seconds), b)
+        fact_parts = parts | _parts_of(dates_from(renumbered, keys))
+
+        first = first_changed_session(renumbered, keys)
+        sessions_now = touched_sessions(renumbered, first)
+        old = read_table(spark, numbered).join(keys.select(*sessions.KEY), sessions.KEY, "left_semi")
+        sessions_before = stored(touched_sessions(old, first), c)
+        # Events that stand alone: those that went or came, and as they are now.
+        alone = sessions.alone_summary(changed)
+        moved_ids = changed.select("event_id").distinct()
+        alone_now = sessions.alone_summary(touched.join(moved_ids, "event_id", "left_semi")).filter("start_ts IS NOT NULL")
+        start_parts = _parts_of(_start_dated(sessions_now.unionByName(sessions_before).unionByName(alone)))
+        # Untimed events are sessions of their own, which the date they lack holds together.
+        start_parts = (start_parts - {UNDATED}) | (parts & {UNDATED})
+        gone = reduce(DataFrame.unionByName, (d.select("session_id") for d in (sessions_now, sessions_before, alone)))
+        before = read_table(spark, lake.gold_table("session_summary"), parts=start_parts - {UNDATED})
+        kept = before.join(gone.distinct(), "session_id", "left_anti")
+        summary = kept.unionByName(sessions_now).unionByName(alone_now)
+        if UNDATED in start_parts:
+            undated = read_table(spark, lake.silver, parts=[UNDATED])
+            summary = summary.unionByName(sessions.untimed_summary(undated, gap_seconds))
+            summary = summary.unionByName(sessions.alone_summary(undated))
+
+        same = read_table(spark, numbered, parts=fact_parts).join(keys.select(*sessions.KEY), sessions.KEY, "left_anti")
+        moved = renumbered.filter(_in_parts(fact_parts)).select(*same.columns)
+        together(
+            spark,
+            _replacing(same.unionByName(moved), numbered, fact_parts),
+            _replacing(_start_dated(summary), lake.gold_table("session_summary"), start_parts, hidden=True),
+            *_merge_dimensions(spark, lake),
+        )
+    numbers = sessions.one_number_per_cell(read_table(spark, numbered, parts=fact_parts))
+    facts = fact_rows(read_table(spark, lake.silver, parts=fact_parts), numbers, gap_seconds)
+    replace_dates(facts, lake.gold_table("fact_events"), fact_parts)
+
+
+def _in_parts(parts: set[str]):
+    return F.coalesce(F.col(DATE_COLUMN).cast("string"), F.lit(UNDATED)).isin(sorted(parts))
 
 
 def run_incremental(
@@ -209,19 +289,21 @@ def run_incremental(
     schema: T.StructType | None = None,
     files_per_batch: int | None = None,
     skip_corrupt: bool = False,
+    widen: bool = False,
 ) -> None:
     """Ingest unseen files and refresh silver and gold; with nothing new, nothing is rewritten.
 
-    ``files_per_batch`` bounds what one step of the stream takes in, as for a first load of a large lake.
+    ``files_per_batch`` bounds what one step of the stream takes in, as for a first load of a large lake. ``widen`` adds
+    the columns of files that have more; otherwise such files are set aside.
     """
     require_utc(spark)
-    last = done_through(spark, lake, "bronze")
-    instant = now_utc() if last is None else max(now_utc(), last + timedelta(microseconds=1))
-    declared = schema or _raw_schema(spark, raw_dir, lake, pattern)
+    bronze = version_of(spark, lake.bronze)
+    last = (bronze.notes if bronze else {}).get("through")
+    instant = now_utc()
+    if last is not None:
+        instant = max(instant, EPOCH + timedelta(microseconds=last + 1))
     ingest_new_files(
-        spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, declared, instant,
-        files_per_batch, skip_corrupt,
+        spark, raw_dir, lake.bronze, lake.ingest_checkpoint, pattern, schema, instant, files_per_batch, skip_corrupt, widen
     )
-    note_done(spark, lake, "bronze", instant)
-    refresh_silver(spark, lake, instant)
-    refresh_gold(spark, lake, sessions.gap_from_minutes(session_gap_minutes), instant)
+    refresh_silver(spark, lake)
+    refresh_gold(spark, lake, sessions.gap_from_minutes(session_gap_minutes))

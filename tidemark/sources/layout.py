@@ -30,9 +30,18 @@ class Lake:
         """Mergeable per-date parts that incremental runs keep."""
         return f"{self.root}/state/{name}"
 
+    def silver_changes(self, number: int) -> str:
+        """Rows that a version of silver has in other form than the version before."""
+        return self.state(f"silver_changes/{number:012d}")
+
+    @property
+    def id_dates(self) -> str:
+        """Dates that native event ids were seen at."""
+        return self.state("id_dates")
+
     @property
-    def progress(self) -> str:
-        return f"{self.root}/state/progress"
+    def gold_progress(self) -> str:
+        return self.state("gold_progress")
 
     @property
     def ingest_checkpoint(self) -> str:

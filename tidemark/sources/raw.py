@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -65,6 +66,21 @@ def read_raw_events(
     return spark.read.schema(declared).options(**csv_options(pattern, skip_corrupt)).csv(raw_dir)
 
 
+def literal_path(path: str) -> str:
+    """A path that names one file, whatever characters of patterns it has."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def read_raw_files(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType, skip_corrupt: bool = False
+) -> DataFrame:
+    """Scan the given files, whose header must be that of ``schema``, with the file a row comes from."""
+    options = {k: v for k, v in csv_options("*", skip_corrupt).items() if k != "pathGlobFilter"}
+    rows = spark.read.schema(schema).options(**options).csv([literal_path(path) for path in paths])
+    # A union hides the file a row came from, so it is read here.
+    return rows.select("*", source_file().alias("source_file"))
+
+
 def read_header_groups(
     spark: SparkSession, raw_dir: str, patterns: Sequence[str], skip_corrupt: bool = False
 ) -> DataFrame:
