@@ -2,6 +2,11 @@
 
 Toxic documents go, then copies, then all but one document of each group of near copies, then documents that
 contain benchmark items; the last stage draws from the rest by calibrated weights.
+
+Rules for odd input are those of the operators: null and empty texts are clean, are copies of each other, link with nothing
+and match no benchmark item, and are not drawn, as they have no tokens; rows that share an id are kept or dropped by their own
+texts, but as near copies stand or fall together; rows without an id are near copies of nothing that is dropped; texts of any length are
+read whole; extra columns pass through all stages, whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
