@@ -36,17 +36,17 @@ from tidemark.llm.common import as_row, staged
 STEMS = (6, 5, 4)
 PRIOR_TEXTS = 50.0
 #: A weight is the log-odds less so many standard errors, so that chance finds among rare forms weigh little.
-ERRORS = 1.5
+ERRORS = 1.25
 #: Weaker forms than ``bar`` weigh as neutral words, so that text without toxic words drifts downwards.
 #: The more texts, the more forms are tried, so the bar rises with the logarithm of their number.
-BAR, BAR_PER_LOG_TEXT = 0.75, 0.22
+BAR, BAR_PER_LOG_TEXT = 0.3, 0.15
 DRIFT = 0.3
 #: Segments under this score are not counted when the extreme-value law is fitted.
 ISLAND = 1.0
 #: The fit reads at most so many labelled rows, those with the smallest hash of their id.
 MAX_TRAINING = 20_000
-#: The lexicon keeps at most so many forms, those with the highest weight.
-MAX_FORMS = 100_000
+#: A passage is significant if chance makes at most so many of its score in a text of the same length.
+CHANCE = 0.05
 REJECT = 0.7
 BIN = 0.25
 BINS = 400
@@ -230,8 +230,8 @@ def _count_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
-def fit_counts(training: DataFrame, max_forms: int) -> Counts:
-    """Class sizes and the counts of the forms of the lexicon, at most ``max_forms`` of them."""
+def fit_counts(training: DataFrame) -> Counts:
+    """Class sizes and the counts of all forms of the lexicon, which are among those of a bounded number of rows."""
     counted = training.mapInPandas(
         _count_forms, "form string, with_clean long, with_toxic long"
     ).groupBy("form").agg(F.sum("with_clean").alias("with_clean"), F.sum("with_toxic").alias("with_toxic"))
@@ -250,8 +250,6 @@ def fit_counts(training: DataFrame, max_forms: int) -> Counts:
         counted.filter("form <> ''")
         .withColumn("weight", odds - ERRORS * F.sqrt(1 / a + 1 / b))
         .filter(F.col("weight") >= bar(toxic + clean))
-        .orderBy(F.desc("weight"), "form")
-        .limit(max_forms)
         .collect()
     )
     return Counts(toxic, clean, {r["form"]: (r["with_toxic"], r["with_clean"]) for r in lexicon})
@@ -332,19 +330,24 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]
     return max(0.0, float(beta[0])), float(beta[1])
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING, max_forms: int = MAX_FORMS
-) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> Model:
     training = staged(training_rows(docs, labels, max_training), "training")
-    counts = fit_counts(training, max_forms)
+    counts = fit_counts(training)
     if not counts.toxic or not counts.clean:
         return Model(counts, (1.0, 1.0), 0.0, 0.0)
     law = fit_law(training, counts)
     return Model(counts, law, *fit_curve(training, counts, law))
 
 
+def significant(segments: list[tuple[int, int, float]], n_words: int, law: tuple[float, float]) -> list[tuple[int, int, float]]:
+    """The segments that chance explains too seldom."""
+    rate, constant = law
+    least = (math.log(max(constant * max(n_words, 1), 1e-300)) - math.log(CHANCE)) / rate
+    return [segment for segment in segments if segment[2] >= least]
+
+
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``doc`` (all columns as a struct) and ``found``: probability, evidence and passages of each text."""
+    """``doc`` (all columns as a struct) and ``found``: probability, evidence and significant passages of each text."""
 
     @F.pandas_udf(f"struct<score:double,evidence:double,n_words:int,passages:{PASSAGE}>")
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -353,8 +356,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             rows = []
             for text in texts:
                 tokens = words(text)
-                passages = segments_of(tokens, weights)
-                total = evidence([s for _, _, s in passages], len(tokens), model.law)
+                segments = segments_of(tokens, weights)
+                total = evidence([s for _, _, s in segments], len(tokens), model.law)
+                passages = significant(segments, len(tokens), model.law)
                 rows.append((model.probability(total), total, len(tokens), passages))
             yield pd.DataFrame(rows, columns=["score", "evidence", "n_words", "passages"])
 
