@@ -149,9 +149,9 @@ def rake(cells: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
 
 
 def _rate(cells: DataFrame, budget: float) -> float:
-    """c, so that the tokens times min(1, c * weight) add up to ``budget``; each step caps more cells."""
+    """c, so that the tokens times min(1, c * weight) add up to ``budget``; each step caps more cells, until none is capped anew."""
     rate = 0.0
-    for _ in range(60):
+    while True:
         capped = F.col("weight") * rate >= 1
         free, full = cells.agg(
             F.sum(F.when(~capped, F.col("tokens") * F.col("weight"))),
