@@ -44,6 +44,42 @@ def test_every_alternative_passes_its_keyword_and_gate():
         assert not dead, (rule, dead[:3])
 
 
+def found_by(text: str, table) -> tuple[set[str], float]:
+    """Labels and score by plain loops: detections that no other one contains with a higher priority, or the same and longer."""
+    line, found = f" {text} ", []
+    for number, rule in enumerate(table):
+        if rule.keyword in line:
+            for m in re.finditer(f"(?<= )(?:{rule.pattern})(?= )", line):
+                first = line[: m.start()].count(" ") - 1
+                found.append((first, first + m[0].count(" "), rule.priority, number))
+    kept = [
+        n for k, (a, b, p, n) in enumerate(found)
+        if not any(
+            c <= a and b <= d and (q > p or q == p and (d - c > b - a or (c, d) == (a, b) and m < n))
+            for j, (c, d, q, m) in enumerate(found) if j != k
+        )
+    ]
+    return {table[n].label for n in kept}, max((table[n].confidence for n in kept), default=0.0)
+
+
+def test_every_rule_finds_something_no_other_rule_finds(spark):
+    table = rules()
+    assert len(table) >= 300
+    texts = [[t for t in {ts[0], ts[-1]}] for ts in (texts_of(_parser.parse(rule.pattern)) for rule in table)]
+    idle = []
+    for k, rule in enumerate(table):
+        others = [*table[:k], *table[k + 1 :]]
+        if all(found_by(t, others) == found_by(t, table) for t in texts[k]):
+            idle.append(rule)
+    assert not idle, (len(idle), [(r.label, r.pattern) for r in idle])
+    # The plain loops agree with the scan, base rules aside.
+    sample = {k: t[0] for k, t in enumerate(texts)}
+    for k, row in scanned(spark, sample).items():
+        labels, score = found_by(sample[k], table)
+        base, base_score = found_by(sample[k], BASE_RULES)
+        assert row.labels == ",".join(sorted(labels | base)) and row.score == max(score, base_score), sample[k]
+
+
 def test_wtfpl_by_both_names(spark):
     out = scanned(
         spark,

@@ -31,12 +31,9 @@ def words_line(text: Column) -> Column:
 
 
 def gate(text: Column, table: list[Rule]) -> Column:
-    """Whether a text may have a match: it has the anchor of a rule, in any case.
-
-    The words of "cc by" are in too many texts; they must follow each other.
-    """
-    anchors = sorted({rule.gate() for rule in table if not rule.keyword.startswith("cc by")})
-    pattern = "|".join([r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by", *(re.escape(a) for a in anchors)])
+    """Whether a text may have a match: it has the anchor of a rule, in any case."""
+    anchors = sorted({rule.gate() for rule in table})
+    pattern = "|".join(SEPARATORS.join(re.escape(word) for word in anchor.split()) for anchor in anchors)
     return F.lower(F.coalesce(text, F.lit(""))).rlike(pattern)
 
 
