@@ -1,10 +1,13 @@
 """Column expressions: parsing, keys and measures."""
 
 from tidemark.functions.keys import (
+    EVENT_KEY_FIELDS,
     event_key,
     session_id,
     session_key_columns,
+    short_event_id,
     user_key_columns,
+    whole_event_id,
 )
 from tidemark.functions.measures import is_purchase, optional, price_band, revenue
 from tidemark.functions.parsing import (
@@ -15,6 +18,7 @@ from tidemark.functions.parsing import (
 )
 
 __all__ = [
+    "EVENT_KEY_FIELDS",
     "blank_to_null",
     "event_key",
     "floating_number",
@@ -25,6 +29,8 @@ __all__ = [
     "revenue",
     "session_id",
     "session_key_columns",
+    "short_event_id",
     "user_key_columns",
+    "whole_event_id",
     "whole_number",
 ]
