@@ -1,0 +1,69 @@
+"""Rows that share an id, or id and text, are documents of their own: lines that an earlier one matches are removed."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from tests.llm import brute
+from tidemark.llm import line_dedup
+
+ROWS = [
+    (1, "alpha beta gamma\n\nonly here\nalpha beta gamma delta"),
+    (1, "alpha beta gamma\n\nonly here\nalpha beta gamma delta"),
+    (2, "once\ntwice"),
+    (3, "gamma beta alpha\nall of it is new"),
+    *[(4, "all of it is new\nbut for one line\n \nhere it is")] * 5,
+    (5, None),
+    (5, None),
+    (6, " \n\n"),
+    (6, " \n\n"),
+    (7, "only here"),
+    (None, "lines without an id\nonly here\n\nmore"),
+    (None, "lines without an id\nonly here\n\nmore"),
+]
+
+
+def removed(docs) -> Counter:
+    return Counter((r.doc_id, r.text or "", r.n_removed) for r in line_dedup.dedup(docs).select("doc.doc_id", "found.*").collect())
+
+
+def looped(rows) -> Counter:
+    found = brute.lines_removed([(k, text) for k, (_, text) in enumerate(rows)])
+    return Counter((doc_id, *found[k]) for k, (doc_id, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("tasks", [1, 4])
+def test_equal_documents(spark, tasks):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(tasks)
+    got = removed(docs)
+    assert got[4, "\n".join(["but for one line", " ", "here it is"]), 1] == 1 and got[4, " ", 3] == 4
+    assert got[None, "lines without an id\n\nmore", 1] == 1 and got[None, "", 3] == 1
+    assert got == looped(ROWS)
+
+
+def test_other_columns_stay(spark):
+    rows = [(k % 3, f"a line of {k % 3}\n\nand one that all have", f"source {k}") for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lines string").repartition(4)
+    got = line_dedup.dedup(docs).select("doc.*", "found.n_lines", "found.n_removed").collect()
+    assert sorted((r.doc_id, r.text, r.lines) for r in got) == sorted(rows)
+    assert Counter((r.doc_id, r.n_lines, r.n_removed) for r in got) == {
+        (0, 3, 0): 1, (1, 3, 1): 1, (2, 3, 1): 1, (0, 3, 2): 9, (1, 3, 2): 9, (2, 3, 2): 9
+    }
+
+
+def test_broadcast_or_not(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    assert removed(spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3)) == looped(ROWS)
+
+
+def test_other_texts_of_one_id(spark):
+    """By id and place the line that both have comes first in the second text, whatever the hashes of the texts."""
+    rows = []
+    for k in range(12):
+        doc_id, line = (k if k < 8 else None), f"both{k} texts{k} have{k} this{k}"
+        rows += [(doc_id, f"one{k}\ntwo{k}\n{line}"), (doc_id, f"{line}\nthree{k}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(doc_id, f"one{k // 2}\ntwo{k // 2}", 1) if k % 2 == 0 else (doc_id, text, 0) for k, (doc_id, text) in enumerate(rows)]
+    assert removed(docs) == Counter(want)
